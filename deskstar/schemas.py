@@ -5,47 +5,57 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 
-def _struct(spec: str) -> T.StructType:
-    return T.StructType.fromDDL(spec)
+# Types are added by name, which needs no running session.
+_TYPE_NAMES = {"BIGINT": "long", "INT": "integer", "SMALLINT": "short"}
+
+
+def columns(spec: str) -> T.StructType:
+    """``name TYPE`` pairs separated by a comma and a blank."""
+    struct = T.StructType()
+    for item in spec.split(", "):
+        name, kind = item.strip("`").replace("` ", " ").rsplit(" ", 1)
+        struct.add(name, _TYPE_NAMES.get(kind, kind.lower()))
+    return struct
+
+
+def _feed(items: T.StructType) -> T.StructType:
+    results = T.ArrayType(T.StructType().add("items", T.ArrayType(items)))
+    return columns("instancia STRING, host_name STRING").add("results", results)
 
 
 # --- raw documents -----------------------------------------------------------------------------
-RAW_TICKET = _struct(
+RAW_TICKET = columns(
     "id BIGINT, company_id BIGINT, subject STRING, status INT, priority INT, type STRING, "
-    "created_at STRING, updated_at STRING, "
-    "custom_fields STRUCT<cf_sgdb: STRING, cf_ambiente: STRING, cf_csi_status: STRING>"
-)
+    "created_at STRING, updated_at STRING"
+).add("custom_fields", columns("cf_sgdb STRING, cf_ambiente STRING, cf_csi_status STRING"))
 # Position of a ticket in the landed result pages.
-LANDING_POSITION = _struct("window_start DATE, page INT, pos BIGINT")
+LANDING_POSITION = columns("window_start DATE, page INT, pos BIGINT")
 
-RAW_AVAILABILITY = _struct(
-    "instancia STRING, host_name STRING, results ARRAY<STRUCT<items: ARRAY<STRUCT<"
-    "anomes: STRING, disponibilidade_pct: STRING, minutos_indisponiveis: STRING>>>>"
+RAW_AVAILABILITY = _feed(
+    columns("anomes STRING, disponibilidade_pct STRING, minutos_indisponiveis STRING")
 )
-RAW_VOLUMETRY = _struct(
-    "instancia STRING, host_name STRING, results ARRAY<STRUCT<items: ARRAY<STRUCT<"
-    "db: STRING, mes: STRING, gb_total: STRING, diff_1m: STRING, diff_3m: STRING, "
-    "diff_6m: STRING, diff_12m: STRING>>>>"
+RAW_VOLUMETRY = _feed(
+    columns("db STRING, mes STRING, gb_total STRING, diff_1m STRING, diff_3m STRING, diff_6m STRING, diff_12m STRING")
 )
 
 # --- lake layers -------------------------------------------------------------------------------
-STAGING_TICKETS = _struct(
+STAGING_TICKETS = columns(
     "id BIGINT, company_id BIGINT, subject STRING, status INT, priority INT, type STRING, "
     "created_at STRING, updated_at STRING, `custom_fields.cf_sgdb` STRING, "
     "`custom_fields.cf_ambiente` STRING, `custom_fields.cf_csi_status` STRING"
 )
-STAGING_SERVERS = _struct(
+STAGING_SERVERS = columns(
     "INSTANCIA STRING, HOST_NAME STRING, ANOMES INT, TAMANHO_GB DOUBLE, DELTA_1_MES DOUBLE, "
     "DELTA_2_MESES DOUBLE, DELTA_3_MESES DOUBLE, DELTA_6_MESES DOUBLE, DELTA_12_MESES DOUBLE, "
     "DISPONIBILIDADE_PCT DOUBLE, MINUTOS_INDISPONIVEIS INT"
 )
-CURATED_TICKETS = _struct(
+CURATED_TICKETS = columns(
     "id_ticket BIGINT, empresa STRING, data_criacao STRING, data_ultima_alteracao STRING, "
     "tipo_ticket STRING, status_ticket STRING, foi_atuado STRING, titulo_ticket STRING, "
     "csi_status STRING, sgdb STRING, ambiente STRING, nome_servidor STRING, instancia STRING, "
     "nk_servidor STRING, tempo_resolucao_horas DECIMAL(12,2)"
 )
-CURATED_TICKETS_LEGACY = _struct(
+CURATED_TICKETS_LEGACY = columns(
     "id_ticket BIGINT, empresa STRING, data_criacao STRING, data_ultima_alteracao STRING, "
     "tipo_ticket STRING, status_ticket STRING, foi_atuado STRING, titulo_ticket STRING, "
     "csi_status STRING"
@@ -70,41 +80,40 @@ REQUIRED = {
 }
 
 # --- warehouse ---------------------------------------------------------------------------------
-# Table -> DDL column list; comments describe the columns whose meaning is not their name.
-TABLE_DDL = {
+_COLUMNS = {
     "dim_tempo": (
-        "sk_tempo INT NOT NULL COMMENT 'day key YYYYMMDD', data_completa DATE NOT NULL, "
-        "ano SMALLINT, mes SMALLINT, dia SMALLINT, anomes INT COMMENT 'month as YYYYMM', "
-        "nome_mes STRING COMMENT 'month name in Portuguese', trimestre SMALLINT, semestre SMALLINT"
+        "sk_tempo INT, data_completa DATE, "
+        "ano SMALLINT, mes SMALLINT, dia SMALLINT, anomes INT, "
+        "nome_mes STRING, trimestre SMALLINT, semestre SMALLINT"
     ),
-    "dim_cliente": "sk_cliente BIGINT NOT NULL, nm_cliente STRING NOT NULL, ativo BOOLEAN",
+    "dim_cliente": "sk_cliente BIGINT, nm_cliente STRING, ativo BOOLEAN",
     "dim_servidor": (
-        "sk_servidor BIGINT NOT NULL, nk_servidor STRING NOT NULL COMMENT 'normalised name', "
+        "sk_servidor BIGINT, nk_servidor STRING, "
         "instancia STRING, host_name STRING, nome_servidor STRING, ambiente STRING, "
-        "ambiente_macro STRING COMMENT 'production or not', sgdb STRING, sk_cliente BIGINT, "
+        "ambiente_macro STRING, sgdb STRING, sk_cliente BIGINT, "
         "ativo BOOLEAN"
     ),
-    "dim_tipo_ticket": "sk_tipo_ticket BIGINT NOT NULL, nm_tipo_ticket STRING NOT NULL",
-    "dim_status_ticket": "sk_status_ticket BIGINT NOT NULL, nm_status_ticket STRING NOT NULL",
-    "dim_status_csi": "sk_status_csi BIGINT NOT NULL, nm_status_csi STRING NOT NULL",
+    "dim_tipo_ticket": "sk_tipo_ticket BIGINT, nm_tipo_ticket STRING",
+    "dim_status_ticket": "sk_status_ticket BIGINT, nm_status_ticket STRING",
+    "dim_status_csi": "sk_status_csi BIGINT, nm_status_csi STRING",
     "fato_ticket": (
-        "sk_ticket BIGINT NOT NULL, id_ticket_origem BIGINT NOT NULL COMMENT 'id in the desk', "
-        "sk_cliente BIGINT NOT NULL, sk_servidor BIGINT, sk_tipo_ticket BIGINT NOT NULL, "
-        "sk_status_ticket BIGINT, sk_tempo_criacao INT NOT NULL, sk_tempo_ultima_alt INT, "
-        "foi_atuado SMALLINT COMMENT '1 acted on, 0 not', "
-        "tempo_resolucao_horas DECIMAL(12,2) COMMENT 'last change minus creation', "
+        "sk_ticket BIGINT, id_ticket_origem BIGINT, "
+        "sk_cliente BIGINT, sk_servidor BIGINT, sk_tipo_ticket BIGINT, "
+        "sk_status_ticket BIGINT, sk_tempo_criacao INT, sk_tempo_ultima_alt INT, "
+        "foi_atuado SMALLINT, "
+        "tempo_resolucao_horas DECIMAL(12,2), "
         "titulo_ticket STRING, data_carga TIMESTAMP"
     ),
     "fato_servidor": (
-        "sk_fato_servidor BIGINT NOT NULL, sk_servidor BIGINT NOT NULL, "
-        "sk_tempo_referencia INT NOT NULL, tamanho_gb DECIMAL(14,2), delta_1_mes DECIMAL(14,2), "
+        "sk_fato_servidor BIGINT, sk_servidor BIGINT, "
+        "sk_tempo_referencia INT, tamanho_gb DECIMAL(14,2), delta_1_mes DECIMAL(14,2), "
         "delta_2_meses DECIMAL(14,2), delta_3_meses DECIMAL(14,2), delta_6_meses DECIMAL(14,2), "
         "delta_12_meses DECIMAL(14,2), disponibilidade_pct DECIMAL(7,2), "
         "minutos_indisponiveis INT, arquivo_origem STRING, data_carga TIMESTAMP"
     ),
     "fato_csi": (
-        "sk_fato_csi BIGINT NOT NULL, id_ticket_origem BIGINT NOT NULL, sk_cliente BIGINT, "
-        "sk_servidor BIGINT, sk_status_csi BIGINT, sk_tempo_criacao INT NOT NULL, "
+        "sk_fato_csi BIGINT, id_ticket_origem BIGINT, sk_cliente BIGINT, "
+        "sk_servidor BIGINT, sk_status_csi BIGINT, sk_tempo_criacao INT, "
         "sk_tempo_fechamento INT, titulo_csi STRING, foi_atuado SMALLINT, "
         "tempo_resolucao_horas DECIMAL(12,2), data_carga TIMESTAMP"
     ),
@@ -122,7 +131,19 @@ TABLE_DDL = {
     ),
 }
 
-TABLE = {name: _struct(ddl) for name, ddl in TABLE_DDL.items()}
+# Comments of the columns whose meaning is not their name.
+COMMENTS = {
+    "sk_tempo": "day key YYYYMMDD",
+    "anomes": "month as YYYYMM",
+    "nome_mes": "month name in Portuguese",
+    "nk_servidor": "normalised name",
+    "ambiente_macro": "production or not",
+    "id_ticket_origem": "id in the desk",
+    "foi_atuado": "1 acted on, 0 not",
+    "tempo_resolucao_horas": "last change minus creation",
+}
+
+TABLE = {name: columns(spec) for name, spec in _COLUMNS.items()}
 
 # The nine tables of the star, dimensions first.
 STAR_TABLES = (

@@ -131,11 +131,16 @@ def write_jdbc(df: DataFrame, url: str, table: str, batch_size: int = 10_000, **
     df.write.format("jdbc").options(url=url, dbtable=table, batchsize=str(batch_size), **options).mode("append").save()
 
 
+def _declared(field: T.StructField) -> str:
+    comment = schemas.COMMENTS.get(field.name)
+    return f"{field.name} {field.dataType.simpleString()}" + (f" COMMENT '{comment}'" if comment else "")
+
+
 def create_star(spark: SparkSession, root: str, schema: str = "dw", tables=schemas.STAR_TABLES) -> None:
     """Declare the schema and its tables over the warehouse folders, types and comments included."""
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema}")
     for table in tables:
-        columns = schemas.TABLE_DDL[table].replace(" NOT NULL", "")
+        columns = ", ".join(_declared(field) for field in schemas.TABLE[table].fields)
         clause = ""
         name = schemas.PARTITION.get(table)
         if name:
