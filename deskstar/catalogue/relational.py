@@ -315,11 +315,10 @@ def _(spark, sf):
 def _(spark, sf):
     wh = _warehouse(spark)
     first = b.table(spark, sf, "supplier").select(C("s_name").alias("nm_cliente"), F.lit(False).alias("ativo")).distinct()
-    wh.append(members.insert_missing_members(wh.read("dim_cliente"), first, "dim_cliente"), "dim_cliente")
+    members.insert_missing_members(wh, first, "dim_cliente")
     second = first.select("nm_cliente").union(b.table(spark, sf, "customer").select("c_name")).distinct()
     candidates = second.withColumn("ativo", F.lit(True))
-    wh.append(members.insert_missing_members(wh.read("dim_cliente"), candidates, "dim_cliente"), "dim_cliente")
-    return wh.read("dim_cliente").select("nm_cliente", "ativo")
+    return members.insert_missing_members(wh, candidates, "dim_cliente").select("nm_cliente", "ativo")
 
 
 @query("coalesce_enrich", q.with_ctes("""SELECT t.nk_servidor, coalesce(t.instancia, f.instancia) AS instancia, f.instancia AS host_name, t.nome_servidor

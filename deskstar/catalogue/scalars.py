@@ -33,10 +33,10 @@ def _prose(spark: SparkSession, sf: str, **cols: Column) -> DataFrame:
 
 
 # --- text --------------------------------------------------------------------------------------------
-# The twin's engine leaves the sharp s alone where full upper-casing doubles it.
+# Full upper-casing doubles the sharp s; the twin's engine has a one-letter capital for it.
 @query("normalise_text", _prose_twin(
     texto=q.text("subject"), minusculo=f"lower({q.text('subject')})",
-    chave=q.collapse(f"replace(upper({q.text('subject')}), 'ß', 'SS')")))
+    chave=q.collapse(f"replace(replace(upper({q.text('subject')}), 'ß', 'SS'), 'ẞ', 'SS')")))
 def _(spark, sf):
     s = C("subject")
     return _prose(spark, sf, texto=text.normalise_text(s), minusculo=text.normalise_lower(s), chave=text.normalise_key(s))

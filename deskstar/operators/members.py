@@ -13,6 +13,7 @@ from deskstar.functions.temporal import calendar_attributes, to_day
 from deskstar.functions.text import blank_to_default, normalise_text
 from deskstar.operators.joins import anti_new_members, small
 from deskstar.operators.keys import assign_surrogate_keys, next_key
+from deskstar.sources.warehouse import Warehouse
 
 
 def distinct_members(
@@ -31,21 +32,30 @@ def union_dates(df: DataFrame, cols: Sequence[str], name: str = "data_completa")
     return df.select(days.alias(name)).where(F.col(name).isNotNull()).distinct()
 
 
+def missing_members(
+    existing: DataFrame, candidates: DataFrame, table: str, casefold: bool = False
+) -> DataFrame:
+    """Candidates whose natural key is not stored; ``casefold`` compares in lower case."""
+    _, nk = schemas.DIMENSION_KEYS[table]
+    known = existing.select(F.lower(F.col(nk)).alias(nk)) if casefold else existing
+    return anti_new_members(candidates, known, [nk])
+
+
 def insert_missing_members(
-    existing: DataFrame, candidates: DataFrame, table: str, compare: str | None = None
+    warehouse: Warehouse, candidates: DataFrame, table: str, casefold: bool = False
 ) -> DataFrame:
-    """Rows to append: candidates whose natural key is new, with surrogate keys after the last.
+    """Append the candidates that are new, with keys after the last one, and return the dimension.
 
-    Existing rows never change. ``compare`` (``casefold``) compares keys in lower case.
+    Existing rows never change. The new members are stored before they are numbered, so the
+    candidates, which may come out of a whole fact, are computed once.
     """
     sk, nk = schemas.DIMENSION_KEYS[table]
-    known = existing.select(nk)
-    if compare == "casefold":
-        known = known.select(F.lower(F.col(nk)).alias(nk))
-    new = anti_new_members(candidates, known, [nk])
-    if sk in new.columns:
-        return new
-    return assign_surrogate_keys(new, nk, sk, start=next_key(existing, sk))
+    existing = warehouse.read(table)
+    new = missing_members(existing, candidates, table, casefold)
+    if sk not in new.columns:
+        new = assign_surrogate_keys(warehouse.stage(new, table), nk, sk, next_key(existing, sk))
+    warehouse.append(new, table)
+    return warehouse.read(table)
 
 
 def time_members(days: DataFrame) -> DataFrame:

@@ -97,16 +97,24 @@ def split_invalid_period(df: DataFrame, period: str) -> tuple[DataFrame, DataFra
     return df.where(F.col(period).isNotNull()), df.where(F.col(period).isNull())
 
 
+def _fail_where(df: DataFrame, bad: Column, message: Column, carrier: str) -> DataFrame:
+    """The frame with a check in its plan: the job that computes ``carrier`` fails on a bad row.
+
+    The check costs no extra pass and stops the job before anything is committed.
+    """
+    value = F.when(bad, F.raise_error(message)).otherwise(F.col(carrier))
+    return df.withColumn(carrier, value)
+
+
 def reject_invalid_period(
     df: DataFrame, period: str, source: str, mode: str = "strict"
 ) -> DataFrame:
-    """Rows whose month parses. Strict mode fails on any other row and names some values."""
-    good, bad = split_invalid_period(df, period)
-    if mode == "strict":
-        found = [r[0] for r in bad.select(source).distinct().limit(20).collect()]
-        if found:
-            raise QualityError(f"invalid values in {source}: {found}")
-    return good
+    """Rows whose month parses. In strict mode any other row fails the job and is named."""
+    if mode != "strict":
+        return split_invalid_period(df, period)[0]
+    value = F.coalesce(F.col(source).cast("string"), F.lit("NULL"))
+    message = F.concat(F.lit(f"invalid value in {source}: "), value)
+    return _fail_where(df, F.col(period).isNull(), message, period)
 
 
 def unresolved_counts(fact: DataFrame, mandatory: Mapping[str, str]) -> DataFrame:
@@ -127,18 +135,21 @@ def require_resolved_sk(
 ) -> tuple[DataFrame, DataFrame]:
     """(rows whose mandatory keys all resolved, the other rows with the name of the first gap).
 
-    Strict mode fails if there is any row of the second kind.
+    In strict mode the first frame fails the job that computes it on a row of the second kind.
     """
     gap = F.lit(None).cast("string")
     for sk in reversed(list(mandatory)):
         gap = F.when(F.col(sk).isNull(), F.lit(sk)).otherwise(gap)
     marked = fact.withColumn("chave_ausente", gap)
     bad = marked.where(F.col("chave_ausente").isNotNull())
-    if mode == "strict":
-        found = _examples(bad, ["chave_ausente", *dict.fromkeys(mandatory.values())])
-        if found:
-            raise QualityError(f"unresolved surrogate keys, for example {found}")
-    return marked.where(F.col("chave_ausente").isNull()).drop("chave_ausente"), bad
+    if mode != "strict":
+        return marked.where(F.col("chave_ausente").isNull()).drop("chave_ausente"), bad
+    origin = F.to_json(F.struct(*dict.fromkeys(mandatory.values())))
+    message = F.concat(F.lit("unresolved "), gap, F.lit(" from "), origin)
+    checked = fact
+    for sk in mandatory:
+        checked = _fail_where(checked, F.col(sk).isNull(), message, sk)
+    return checked, bad
 
 
 # --- constraints -----------------------------------------------------------------------------------

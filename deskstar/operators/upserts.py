@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,39 +23,40 @@ def upsert_by_id(
 ) -> DataFrame:
     """Delete the keys of the batch wherever they are stored, then insert the batch.
 
-    Only the months that hold one of those keys, or receive a new row, are rewritten. The new
-    content is staged first because it is computed from the partitions it replaces.
+    Only the months that hold one of those keys, or receive a new row, are rewritten. A dynamic
+    overwrite moves the new partitions in after all tasks have finished, so it may read the
+    partitions it replaces; running it again after a failure gives the same table.
     """
     month = schemas.PARTITION[table]
     stored = warehouse.physical(table)
-    if sk is not None:
-        batch = assign_surrogate_keys(batch, key, sk, next_key(stored, sk), buckets)
-    batch = warehouse.stage(warehouse.shape(batch, table), f"{table}-batch")
+    fresh = warehouse.stage(warehouse.shape(batch, table), f"{table}-batch")
+    keyed = fresh if sk is None else assign_surrogate_keys(
+        fresh.drop(sk), key, sk, next_key(stored, sk), buckets).select(*fresh.columns)
     if not warehouse.exists(table):
-        warehouse.overwrite_partitions(batch, table)
+        warehouse.overwrite_partitions(keyed, table)
         return warehouse.read(table)
-    keys = batch.select(key).distinct()
+    keys = fresh.select(key).distinct()
     hit = _periods(stored.select(key, month).join(keys, key, "left_semi"), month)
-    incoming = _periods(batch, month)
-    kept = stored.where(F.col(month).isin(hit + incoming)).join(keys, key, "left_anti")
-    staged = warehouse.stage(kept.unionByName(batch), table)
-    warehouse.overwrite_partitions(staged, table)
-    filled = set(_periods(staged, month))
-    for value in hit:
-        if value not in filled:
-            warehouse.clear_partition(table, value)
+    incoming = _periods(fresh, month)
+    kept = stored.where(F.col(month).isin(sorted({*hit, *incoming}))).join(keys, key, "left_anti")
+    emptied = set(hit) - set(incoming) - set(_periods(kept, month)) if set(hit) - set(incoming) else set()
+    warehouse.overwrite_partitions(kept.unionByName(keyed), table)
+    for value in emptied:
+        warehouse.clear_partition(table, value)
     return warehouse.read(table)
 
 
 def replace_period(
     warehouse: Warehouse, table: str, batch: DataFrame, sk: str | None = None,
-    sk_from: str | None = None, buckets: int = 4096,
+    grain: Sequence[str] = (), buckets: int = 4096,
 ) -> DataFrame:
     """Replace every period present in the batch as a whole: rows missing from it disappear."""
+    fresh = warehouse.shape(batch, table)
     if sk is not None:
-        batch = assign_surrogate_keys(batch, sk_from, sk, next_key(warehouse.read(table), sk), buckets)
-    staged = warehouse.stage(warehouse.shape(batch, table), table)
-    warehouse.overwrite_partitions(staged, table)
+        start = next_key(warehouse.read(table), sk)
+        stored = warehouse.stage(fresh, table)
+        fresh = assign_surrogate_keys(stored.drop(sk), grain, sk, start, buckets).select(*stored.columns)
+    warehouse.overwrite_partitions(fresh, table)
     return warehouse.read(table)
 
 

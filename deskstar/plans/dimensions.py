@@ -22,15 +22,10 @@ from deskstar.sources.contracts import align_optional_columns, require_columns
 from deskstar.sources.warehouse import Warehouse
 
 
-def _append_new(warehouse: Warehouse, candidates: DataFrame, table: str, compare: str | None = None) -> None:
-    new = insert_missing_members(warehouse.read(table), candidates, table, compare)
-    warehouse.append(new, table)
-
-
 def load_dim_tempo(warehouse: Warehouse, curated: DataFrame) -> DataFrame:
     cols = schemas.REQUIRED["curated_for_dates"]
-    _append_new(warehouse, time_members(union_dates(require_columns(curated, cols), cols)), "dim_tempo")
-    return warehouse.read("dim_tempo")
+    days = union_dates(require_columns(curated, cols), cols)
+    return insert_missing_members(warehouse, time_members(days), "dim_tempo")
 
 
 def client_members(curated: DataFrame) -> DataFrame:
@@ -39,30 +34,27 @@ def client_members(curated: DataFrame) -> DataFrame:
 
 
 def load_dim_cliente(warehouse: Warehouse, curated: DataFrame) -> DataFrame:
-    _append_new(warehouse, client_members(require_columns(curated, ["empresa"])), "dim_cliente")
-    return warehouse.read("dim_cliente")
+    members = client_members(require_columns(curated, ["empresa"]))
+    return insert_missing_members(warehouse, members, "dim_cliente")
 
 
 def load_dim_tipo_ticket(warehouse: Warehouse, curated: DataFrame) -> DataFrame:
     members = distinct_members(require_columns(curated, ["tipo_ticket"]), "tipo_ticket", "nm_tipo_ticket")
-    _append_new(warehouse, members, "dim_tipo_ticket")
-    return warehouse.read("dim_tipo_ticket")
+    return insert_missing_members(warehouse, members, "dim_tipo_ticket")
 
 
 def load_dim_status_ticket(warehouse: Warehouse, curated: DataFrame) -> DataFrame:
     members = distinct_members(
         require_columns(curated, ["status_ticket"]), "status_ticket", "nm_status_ticket"
     )
-    _append_new(warehouse, members, "dim_status_ticket")
-    return warehouse.read("dim_status_ticket")
+    return insert_missing_members(warehouse, members, "dim_status_ticket")
 
 
 def load_dim_status_csi(warehouse: Warehouse, curated: DataFrame) -> DataFrame:
     members = distinct_members(
         require_columns(curated, ["csi_status"]), "csi_status", "nm_status_csi", casefold=True
     )
-    _append_new(warehouse, members, "dim_status_csi", compare="casefold")
-    return warehouse.read("dim_status_csi")
+    return insert_missing_members(warehouse, members, "dim_status_csi", casefold=True)
 
 
 def server_members(curated: DataFrame) -> DataFrame:
@@ -90,8 +82,7 @@ def server_members(curated: DataFrame) -> DataFrame:
 
 def load_dim_servidor(warehouse: Warehouse, curated: DataFrame) -> DataFrame:
     keyed = attach_client_to_server(server_members(curated), warehouse.read_dimension("dim_cliente"))
-    _append_new(warehouse, keyed, "dim_servidor")
-    return warehouse.read("dim_servidor")
+    return insert_missing_members(warehouse, keyed, "dim_servidor")
 
 
 def load_dimensions(warehouse: Warehouse, curated: DataFrame) -> dict[str, DataFrame]:
@@ -113,4 +104,4 @@ def seed_domain_dims(warehouse: Warehouse) -> None:
         members = seed_members(warehouse.spark, table)
         if table == "dim_cliente":
             members = members.withColumn("ativo", F.lit(True))
-        _append_new(warehouse, members, table)
+        insert_missing_members(warehouse, members, table)

@@ -155,11 +155,9 @@ def feed_servers(prepared: DataFrame) -> DataFrame:
 def load_feed_dimensions(warehouse: Warehouse, prepared: DataFrame) -> None:
     """Reference months, servers not known yet, then blank attributes of the known ones."""
     days = prepared.select(F.col("DATA_REFERENCIA").alias("data_completa")).distinct()
-    months = insert_missing_members(warehouse.read("dim_tempo"), time_members(days), "dim_tempo")
-    warehouse.append(months, "dim_tempo")
-    servers = feed_servers(prepared)
-    stored = warehouse.read("dim_servidor")
-    warehouse.append(insert_missing_members(stored, servers, "dim_servidor"), "dim_servidor")
+    insert_missing_members(warehouse, time_members(days), "dim_tempo")
+    servers = warehouse.stage(feed_servers(prepared), "feed-servers")
+    insert_missing_members(warehouse, servers, "dim_servidor")
     attributes = ["instancia", "host_name", "nome_servidor"]
     enriched = coalesce_enrich(warehouse.read("dim_servidor"), servers, "nk_servidor", attributes)
     warehouse.replace(enriched, "dim_servidor")
@@ -190,9 +188,8 @@ def load_fato_servidor(
     batch = lower_names(unique).withColumns(
         {"arquivo_origem": F.lit(source).cast("string"), "data_carga": _load_ts(load_ts)}
     )
-    grain = F.struct("sk_servidor", "sk_tempo_referencia")
-    batch = batch.withColumn("_grain", F.to_json(grain))
-    return replace_period(warehouse, "fato_servidor", batch, sk="sk_fato_servidor", sk_from="_grain")
+    grain = ["sk_servidor", "sk_tempo_referencia"]
+    return replace_period(warehouse, "fato_servidor", batch, sk="sk_fato_servidor", grain=grain)
 
 
 # --- flat tables of the legacy generation ---------------------------------------------------------------

@@ -85,7 +85,7 @@ class Warehouse:
         self._writer(self.shape(df, table), table).mode("append").parquet(self.path(table))
 
     def overwrite_partitions(self, df: DataFrame, table: str) -> None:
-        """Replace the partitions present in ``df``; ``df`` must not read this table."""
+        """Replace the partitions present in ``df`` when all its tasks are done."""
         (
             self._writer(df, table).mode("overwrite")
             .option("partitionOverwriteMode", "dynamic").parquet(self.path(table))

@@ -55,7 +55,8 @@ def compare(spark, con, name, query, sql, sf_dir) -> list[str]:
         problems.append(f"rows {len(a)} != {len(b)}")
     if a != b:
         sa, sb = set(a), set(b)
-        problems.append(f"values: only ours {sorted(sa - sb)[:2]}; only twin {sorted(sb - sa)[:2]} of {names}")
+        shown = f"only ours {sorted(sa - sb)[:2]}; only twin {sorted(sb - sa)[:2]}"[:600]
+        problems.append(f"values of {names}: {shown}")
     if not a:
         problems.append("no rows")
     return problems
