@@ -10,17 +10,21 @@ from pyspark.sql import functions as F
 
 from deskstar import vocab
 
-# Unicode-aware white space; the four separators are white space for Python text but not for Java.
-_SPACE = r"[\s\x1c-\x1f]"
+# Every white-space character of Unicode, and the four separators that text processing adds to them.
+WHITE_SPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x20\x85\xa0\u1680"
+    + "".join(chr(c) for c in range(0x2000, 0x200B))
+    + "\u2028\u2029\u202f\u205f\u3000"
+)
 
 
 def strip(c: Column) -> Column:
-    """Remove white space at both ends (the built-in ``trim`` removes blanks only)."""
-    return F.regexp_replace(c, f"(?U)^{_SPACE}+|{_SPACE}+$", "")
+    """Remove white space at both ends (the plain ``trim`` removes blanks only)."""
+    return F.btrim(c, F.lit(WHITE_SPACE))
 
 
 def collapse_spaces(c: Column) -> Column:
-    return F.regexp_replace(c, f"(?U){_SPACE}+", " ")
+    return F.regexp_replace(c, r"(?U)[\s\x1c-\x1f]+", " ")
 
 
 def normalise_text(c: Column) -> Column:
@@ -104,8 +108,9 @@ def map_company_legacy(
 
 
 # --- type --------------------------------------------------------------------------------------
-def classify_ticket(subject: Column) -> Column:
-    s = normalise_lower(subject)
+def classify_ticket(subject: Column, lowered: Column | None = None) -> Column:
+    """``lowered`` is the trimmed lower-case subject where a plan already holds it."""
+    s = normalise_lower(subject) if lowered is None else lowered
     incident = (
         s.contains("incidente") | s.startswith("alert:") | s.startswith("clear:")
         | s.contains("alerta de restart")
@@ -140,12 +145,13 @@ def classify_ticket_legacy(ticket_type: Column, subject: Column) -> Column:
 
 # --- title -------------------------------------------------------------------------------------
 def _drop_prefixes(c: Column, customers: Sequence[str]) -> Column:
-    for pattern in (
-        r"(INFO(?:\s+\w+)?)\s*:\s*",
-        r"(ALERT|CLEAR)\s*:\s*",
-        rf"({'|'.join(customers)})\s*-\s*",
+    """Strip the three leading marks in order; a text without the mark's sign skips its pattern."""
+    for sign, pattern in (
+        (":", r"(INFO(?:\s+\w+)?)\s*:\s*"),
+        (":", r"(ALERT|CLEAR)\s*:\s*"),
+        ("-", rf"({'|'.join(customers)})\s*-\s*"),
     ):
-        c = F.regexp_replace(c, f"(?iU)^{pattern}", "")
+        c = F.when(c.contains(sign), F.regexp_replace(c, f"(?iU)^{pattern}", "")).otherwise(c)
     return c
 
 
@@ -181,8 +187,8 @@ def csi_status_gate_legacy(status: Column, ticket_type: Column) -> Column:
 
 
 # --- technology and environment --------------------------------------------------------------------
-def detect_dbms(field: Column, subject: Column) -> Column:
-    s = F.upper(normalise_text(subject))
+def detect_dbms(field: Column, subject: Column, uppered: Column | None = None) -> Column:
+    s = F.upper(normalise_text(subject)) if uppered is None else uppered
     from_subject = _first_match(
         [(_has(s, *words), label) for label, words in vocab.DBMS_KEYWORDS], F.lit("")
     )
@@ -207,31 +213,38 @@ def environment_macro(c: Column) -> Column:
 
 # --- server and instance ---------------------------------------------------------------------------
 def extract_instance(subject: Column) -> Column:
-    return F.upper(strip(F.regexp_extract(normalise_text(subject), r"\(([^)]+)\)", 1)))
+    s = normalise_text(subject)
+    found = F.upper(strip(F.regexp_extract(s, r"\(([^)]+)\)", 1)))
+    return F.when(s.contains("("), found).otherwise("")
 
 
 def extract_server(
     subject: Column,
-    patterns: Sequence[str] = vocab.SERVER_PATTERNS,
+    patterns: Sequence[tuple[str, str]] = vocab.SERVER_PATTERNS,
     stop_words: Sequence[str] = vocab.SERVER_STOP_WORDS,
     min_length: int = 5,
+    lowered: Column | None = None,
 ) -> Column:
     """First valid candidate: patterns in order, every match of a pattern in text order.
 
-    ``coalesce`` stops at the first pattern that yields a valid name, so later patterns are not
-    evaluated for that row.
+    ``coalesce`` stops at the first pattern that yields a valid name, and a pattern is tried only
+    where its literal occurs. Letters outside ASCII can fold to the literal's letters, so a text
+    that has any is always tried.
     """
     s = normalise_text(subject)
+    low = F.lower(s) if lowered is None else lowered
+    beyond_ascii = F.octet_length(s) > F.length(s)
 
     def candidate_ok(x: Column) -> Column:
         technical = x.rlike(r"[0-9._\-]")
         return (F.length(x) >= min_length) & technical & ~x.isin(*stop_words)
 
-    def first_valid(pattern: str) -> Column:
+    def first_valid(literal: str, pattern: str) -> Column:
         matches = F.regexp_extract_all(s, F.lit(f"(?iU){pattern}"), F.lit(1))
-        return F.get(F.filter(F.transform(matches, lambda m: normalise_key(m)), candidate_ok), 0)
+        found = F.filter(F.transform(matches, lambda m: normalise_key(m)), candidate_ok)
+        return F.when(low.contains(literal) | beyond_ascii, F.get(found, 0))
 
-    return F.coalesce(*[first_valid(p) for p in patterns], F.lit(""))
+    return F.coalesce(*[first_valid(*p) for p in patterns], F.lit(""))
 
 
 def logical_server(subject: Column, **options) -> Column:

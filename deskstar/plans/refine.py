@@ -78,14 +78,18 @@ def build_curated_tickets(
     order = _order_of(staging)
     aligned = align_optional_columns(staging, schemas.STAGING_TICKETS, carry=TECHNICAL)
     valid = filter_valid_id(aligned, "id", "id_ticket")
-    subject = F.col("subject")
-    derived = valid.withColumns(
-        {
-            "_created": temporal.parse_timestamp(F.col("created_at")),
-            "_updated": temporal.parse_timestamp(F.col("updated_at")),
-            "tipo_ticket": text.classify_ticket(subject),
-            "_server": text.logical_server(subject),
-        }
+    subject, low, up = F.col("_text"), F.col("_low"), F.col("_up")
+    derived = (
+        valid.withColumn("_text", text.normalise_text(F.col("subject")))
+        .withColumns({"_low": F.lower(subject), "_up": F.upper(subject)})
+        .withColumns(
+            {
+                "_created": temporal.parse_timestamp(F.col("created_at")),
+                "_updated": temporal.parse_timestamp(F.col("updated_at")),
+                "tipo_ticket": text.classify_ticket(subject, lowered=low),
+                "_server": text.logical_server(subject, lowered=low),
+            }
+        )
     )
     kind = F.col("tipo_ticket")
     created, updated = F.col("_created"), F.col("_updated")
@@ -98,7 +102,7 @@ def build_curated_tickets(
             "foi_atuado": temporal.acted_flag(created, updated),
             "titulo_ticket": text.clean_title(subject, kind, title_customers),
             "csi_status": text.csi_status_gate(quoted("custom_fields.cf_csi_status"), kind),
-            "sgdb": text.detect_dbms(quoted("custom_fields.cf_sgdb"), subject),
+            "sgdb": text.detect_dbms(quoted("custom_fields.cf_sgdb"), subject, uppered=up),
             "ambiente": text.normalise_environment(quoted("custom_fields.cf_ambiente")),
             "nome_servidor": F.col("_server.nome_servidor"),
             "instancia": F.col("_server.instancia"),

@@ -15,6 +15,9 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # The wide refine projection would become one generated method above the size that the JVM
+    # compiles; past this limit Spark generates split methods instead (half the run time).
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 _local_scratch: dict[str, str] = {}

@@ -100,16 +100,16 @@ ENVIRONMENT_SYNONYMS = {
 
 ENVIRONMENT_MACROS = ("Produção", "Não Produção")
 
-# --- server names in free text: patterns in priority order -----------------------------------
+# --- server names in free text: (literal every match contains, pattern) in priority order -----
 SERVER_PATTERNS = (
-    r"\bServer\s*[:\-]\s*([A-Z0-9._\-]+)",
-    r"\bHost\s*[:\-]\s*([A-Z0-9._\-]+)",
-    r"\bServidor\s*[:\-]\s*([A-Z0-9._\-]+)",
-    r"\bInst[aâ]ncia\s*[:\-]\s*([A-Z0-9._\-]+)",
-    r"\bDatabase\s*[:\-]\s*([A-Z0-9._\-]+)",
-    r"\bDB\s*[:\-]\s*([A-Z0-9._\-]+)",
-    r"^([A-Z0-9._\-]{5,})\s*-\s*",
-    r"-\s*([A-Z0-9._\-]{5,})\s*\(",
+    ("server", r"\bServer\s*[:\-]\s*([A-Z0-9._\-]+)"),
+    ("host", r"\bHost\s*[:\-]\s*([A-Z0-9._\-]+)"),
+    ("servidor", r"\bServidor\s*[:\-]\s*([A-Z0-9._\-]+)"),
+    ("ncia", r"\bInst[aâ]ncia\s*[:\-]\s*([A-Z0-9._\-]+)"),
+    ("database", r"\bDatabase\s*[:\-]\s*([A-Z0-9._\-]+)"),
+    ("db", r"\bDB\s*[:\-]\s*([A-Z0-9._\-]+)"),
+    ("-", r"^([A-Z0-9._\-]{5,})\s*-\s*"),
+    ("-", r"-\s*([A-Z0-9._\-]{5,})\s*\("),
 )
 
 SERVER_STOP_WORDS = (
