@@ -70,14 +70,15 @@ def build_curated_tickets(
     patterns: Sequence[tuple[str, str]] = vocab.CUSTOMER_PATTERNS,
     title_customers: Sequence[str] = vocab.TITLE_CUSTOMERS,
 ) -> DataFrame:
-    """The fifteen curated columns: one narrow projection, then keep-first by ticket id.
+    """The fifteen curated columns: keep-first by ticket id, then one narrow projection.
 
-    Expressions used by several columns (type, server) are projected once, below the others.
+    Repeated tickets go before the text work, so raw columns are shuffled, not the wider derived
+    ones. Expressions used by several columns (text, type, server) are projected once, below.
     """
     require_columns(staging, schemas.REQUIRED["staging_tickets"])
     order = _order_of(staging)
     aligned = align_optional_columns(staging, schemas.STAGING_TICKETS, carry=TECHNICAL)
-    valid = filter_valid_id(aligned, "id", "id_ticket")
+    valid = keep_first(filter_valid_id(aligned, "id", "id_ticket"), ["id_ticket"], order)
     subject, low, up = F.col("_text"), F.col("_low"), F.col("_up")
     derived = (
         valid.withColumn("_text", text.normalise_text(F.col("subject")))
@@ -110,8 +111,7 @@ def build_curated_tickets(
             "tempo_resolucao_horas": temporal.resolution_hours(created, updated),
         }
     )
-    kept = keep_first(curated, ["id_ticket"], order)
-    return _curated_columns(kept, schemas.CURATED_TICKETS.names)
+    return _curated_columns(curated, schemas.CURATED_TICKETS.names)
 
 
 def build_curated_tickets_legacy(
@@ -129,7 +129,8 @@ def build_curated_tickets_legacy(
     subject = F.col("subject") if "subject" in present else null_text
     declared = F.col("type") if "type" in present else null_text
     csi = quoted("custom_fields.cf_csi_status") if "custom_fields.cf_csi_status" in present else None
-    derived = filter_valid_id(staging, "id", "id_ticket").withColumns(
+    valid = keep_first(filter_valid_id(staging, "id", "id_ticket"), ["id_ticket"], order)
+    derived = valid.withColumns(
         {
             "_created": temporal.parse_timestamp(F.col("created_at")),
             "_updated": temporal.parse_timestamp(F.col("updated_at")),
@@ -157,8 +158,7 @@ def build_curated_tickets_legacy(
             "csi_status": gate,
         }
     )
-    kept = keep_first(curated, ["id_ticket"], order)
-    filled = kept.withColumns(
+    filled = curated.withColumns(
         {c: text.normalise_text(F.col(c)) for c in schemas.CURATED_TICKETS_LEGACY.names if c != "id_ticket"}
     )
     return _curated_columns(filled, schemas.CURATED_TICKETS_LEGACY.names)
