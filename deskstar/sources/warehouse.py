@@ -151,7 +151,7 @@ def create_star(spark: SparkSession, root: str, schema: str = "dw", tables=schem
             f"CREATE TABLE IF NOT EXISTS {schema}.{table} ({columns}) USING parquet{clause} "
             f"LOCATION '{root}/{table}'"
         )
-        if name:
+        if name and Warehouse(spark, root).exists(table):
             spark.sql(f"MSCK REPAIR TABLE {schema}.{table}")
 
 
