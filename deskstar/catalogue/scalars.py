@@ -205,9 +205,6 @@ def _(spark, sf):
     return _tickets(spark, sf, flag=temporal.flag_to_int(spelled))
 
 
-_MONTH_TEXT = "CASE WHEN l_linenumber = 7 THEN '13' WHEN l_linenumber = 6 THEN '' ELSE CAST(month(l_shipdate) AS VARCHAR) END"
-
-
 @query("parse_month", """SELECT mes, CAST(count(*) AS BIGINT) AS linhas, anomes FROM (SELECT
     CASE WHEN l_linenumber = 7 THEN '13/2026' WHEN l_linenumber = 6 THEN ' ' ELSE month(l_shipdate) || '/' || year(l_shipdate) END AS mes,
     CASE WHEN l_linenumber < 6 THEN CAST(year(l_shipdate) * 100 + month(l_shipdate) AS INTEGER) END AS anomes FROM lineitem) GROUP BY ALL""")
@@ -266,12 +263,9 @@ def _(spark, sf):
         C("INSTANCIA").alias("instancia"), C("ANOMES").alias("anomes"), "status_disponibilidade", "status_capacity")
 
 
-@query("explode_items", """SELECT o_orderkey, CAST(row_number() OVER (PARTITION BY o_orderkey ORDER BY l_shipdate, l_linenumber, l_partkey, l_suppkey,
-    l_quantity, l_extendedprice) - 1 AS INTEGER) AS pos, l_linenumber, l_partkey FROM orders JOIN lineitem ON l_orderkey = o_orderkey""")
+@query("explode_items", """SELECT doc_id, lang, CAST(pos - 1 AS INTEGER) AS pos, linha, CAST(length(linha) AS INTEGER) AS tamanho FROM (
+    SELECT doc_id, lang, unnest(string_split(text, chr(10))) AS linha, generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM documents)""")
 def _(spark, sf):
-    item = F.struct("l_shipdate", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice")
-    # The lines of one order are a short list by nature.
-    docs = b.table(spark, sf, "lineitem").groupBy(C("l_orderkey").alias("o_orderkey")).agg(
-        F.sort_array(F.collect_list(item)).alias("items"))
-    known = docs.join(b.table(spark, sf, "orders").select("o_orderkey"), "o_orderkey", "left_semi")
-    return explode_items(known, C("items"), keep=["o_orderkey"]).select("o_orderkey", "pos", "l_linenumber", "l_partkey")
+    lines = F.transform(F.split("text", "\n"), lambda x: F.struct(x.alias("linha"), F.length(x).alias("tamanho")))
+    docs = b.table(spark, sf, "documents").select("doc_id", "lang", lines.alias("items"))
+    return explode_items(docs, C("items"), keep=["doc_id", "lang"])

@@ -268,21 +268,28 @@ def executive_summary(warehouse: Warehouse, ordered: bool = True) -> DataFrame:
         spread("delta_1_mes").cast("decimal(38,2)").alias("crescimento_total_mes_gb"),
         F.bit_or(_day_bit()).alias("group_days"),
     )
-    # Distinct servers of a group: those seen on any day of the group.
-    masks = _server_day_masks(warehouse)
-    shared = F.col("group_days").bitwiseAND(F.col("server_days")) != 0
-    distinct = (
-        folded.select(*group, "group_days").join(masks, "anomes").where(shared)
-        .groupBy(*group).agg(_total("seen").alias("seen"))
-        .select(F.col("anomes").alias("_a"), F.col("nm_cliente").alias("_c"), "seen")
+    counted_servers = _servers_per_group(folded, _server_day_masks(warehouse))
+    mart = _executive_columns(counted_servers)
+    return ordered_mart(mart, *group) if ordered else mart
+
+
+def _servers_per_group(groups: DataFrame, masks: DataFrame) -> DataFrame:
+    """Distinct servers of a group: those seen on any day of the group.
+
+    Only days with server rows matter. Reduced to them, the groups of a month have very few distinct
+    day sets, so the sets are compared with each other once and the count goes back to the groups.
+    """
+    month_days = masks.groupBy(F.col("anomes").alias("_a")).agg(F.bit_or("server_days").alias("_days"))
+    effective = F.col("group_days").bitwiseAND(F.coalesce("_days", F.lit(0)))
+    reduced = groups.join(month_days, F.col("anomes") == F.col("_a"), "left").withColumn("_set", effective)
+    shared = F.col("_set").bitwiseAND(F.col("server_days")) != 0
+    counts = (
+        reduced.select("anomes", "_set").distinct().join(masks, "anomes").where(shared)
+        .groupBy("anomes", "_set").agg(_total("seen").alias("seen"))
     )
-    same = (F.col("anomes") == F.col("_a")) & F.col("nm_cliente").eqNullSafe(F.col("_c"))
-    mart = _executive_columns(
-        folded.join(distinct, same, "left").withColumn(
-            "qtd_servidores_monitorados", F.coalesce("seen", F.lit(0).cast("bigint"))
-        )
+    return reduced.join(counts, ["anomes", "_set"], "left").withColumn(
+        "qtd_servidores_monitorados", F.coalesce("seen", F.lit(0).cast("bigint"))
     )
-    return ordered_mart(mart, *group) if ordered else mart
 
 
 def _executive_columns(df: DataFrame) -> DataFrame:

@@ -36,10 +36,10 @@ def read_layer(
 def write_layer(df: DataFrame, root: str, layer: str, entity: str, anomes: int | None = None) -> str:
     """Replace the months present in ``df`` (or the given month) and leave the others alone."""
     path = layer_path(root, layer, entity)
-    if anomes is not None:
-        df = df.withColumn("anomes", F.lit(anomes))
+    # Many months are gathered so that a month gets few files; one month needs no shuffle for that.
+    df = df.hint("rebalance", "anomes") if anomes is None else df.withColumn("anomes", F.lit(anomes))
     (
-        df.hint("rebalance", "anomes").write.mode("overwrite")
+        df.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("anomes")
         .parquet(path)
