@@ -97,10 +97,11 @@ def _iso(c: Column) -> Column:
 
 def raw_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nested raw tickets as landed; every fiftieth id comes again, changed, on page 2."""
-    first = ticket_events(spark, sf_dir)
-    again = first.where(F.col("id") % 50 == 0).withColumns({"page": F.lit(2), "status": F.lit(5)})
+    pages = F.when(F.col("id") % 50 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    seen = ticket_events(spark, sf_dir).withColumn("page", F.explode(pages))
+    landed = seen.withColumn("status", F.when(F.col("page") == 2, 5).otherwise(F.col("status")))
     nested = F.struct("cf_sgdb", "cf_ambiente", "cf_csi_status").alias("custom_fields")
-    return first.unionByName(again).select(
+    return landed.select(
         "id", "company_id", "subject", "status", "priority", "type",
         _iso(F.col("created_at")).alias("created_at"), _iso(F.col("updated_at")).alias("updated_at"),
         nested, "window_start", "page", "pos",

@@ -102,35 +102,33 @@ def null_or_predicate(df: DataFrame, *cols: str) -> DataFrame:
 def merge_outer_one_to_one(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Full outer join that fails when a key repeats on either side; NULL keys match each other.
 
-    Each side is folded by key first. Folding combines in the map tasks, gives the count that the
-    check needs and leaves the rows partitioned by the join keys.
+    A one-to-one outer join is a union folded by key: one shuffle for both sides, rows combined in
+    the map tasks, and the row count per side that the check needs. Columns that both sides have
+    get the suffixes ``_left`` and ``_right``.
     """
-
-    def folded(df: DataFrame, side: str) -> DataFrame:
-        rest = [c for c in df.columns if c not in keys]
-        grouped = df.groupBy(*keys).agg(
-            F.count(F.lit(1)).alias("_n"), F.any_value(F.struct(*rest)).alias("_row")
-        )
-        repeated = F.raise_error(F.concat(F.lit(f"{side} repeats key "), F.to_json(F.struct(*keys))))
-        return grouped.select(
-            *[F.col(k).alias(f"_{side}_{k}") for k in keys],
-            F.when(F.col("_n") > 1, repeated).otherwise(F.col("_row")).alias(f"_{side}"),
-        )
-
-    a, b = folded(left, "left"), folded(right, "right")
-    condition = [a[f"_left_{k}"].eqNullSafe(b[f"_right_{k}"]) for k in keys]
-    joined = a.join(b, condition, "full")
     shared = [c for c in left.columns if c in right.columns and c not in keys]
+    sides = {"left": left, "right": right}
+    values = {s: [c for c in df.columns if c not in keys] for s, df in sides.items()}
+
+    def tagged(side: str) -> DataFrame:
+        packed = F.struct(*values[side]).alias(f"_{side}")
+        return sides[side].select(*keys, packed)
 
-    def key(k: str) -> Column:
-        return F.coalesce(F.col(f"_left_{k}"), F.col(f"_right_{k}")).alias(k)
+    both = tagged("left").unionByName(tagged("right"), allowMissingColumns=True)
+    folded = both.groupBy(*keys).agg(
+        *[F.count(f"_{s}").alias(f"_n_{s}") for s in sides],
+        *[F.any_value(f"_{s}", F.lit(True)).alias(f"_{s}") for s in sides],
+    )
+
+    def checked(side: str) -> Column:
+        repeated = F.raise_error(F.concat(F.lit(f"{side} repeats key "), F.to_json(F.struct(*keys))))
+        return F.when(F.col(f"_n_{side}") > 1, repeated).otherwise(F.col(f"_{side}")).alias(f"_{side}")
 
-    def values(df: DataFrame, side: str, suffix: str) -> list[Column]:
-        names = [c for c in df.columns if c not in keys]
+    def named(side: str) -> list[Column]:
         return [
-            F.col(f"_{side}.{c}").alias(f"{c}{suffix}" if c in shared else c) for c in names
+            F.col(f"_{side}.{c}").alias(f"{c}_{side}" if c in shared else c) for c in values[side]
         ]
 
-    return joined.select(
-        *[key(k) for k in keys], *values(left, "left", "_left"), *values(right, "right", "_right")
+    return folded.select(*keys, *[checked(s) for s in sides]).select(
+        *keys, *named("left"), *named("right")
     )

@@ -276,20 +276,14 @@ def executive_summary(warehouse: Warehouse, ordered: bool = True) -> DataFrame:
 def _servers_per_group(groups: DataFrame, masks: DataFrame) -> DataFrame:
     """Distinct servers of a group: those seen on any day of the group.
 
-    Only days with server rows matter. Reduced to them, the groups of a month have very few distinct
-    day sets, so the sets are compared with each other once and the count goes back to the groups.
+    The loader keys a month of servers to one day, so a month has one day set and a group meets one
+    row. Grouping by the whole group row keeps a single pass over the tickets.
     """
-    month_days = masks.groupBy(F.col("anomes").alias("_a")).agg(F.bit_or("server_days").alias("_days"))
-    effective = F.col("group_days").bitwiseAND(F.coalesce("_days", F.lit(0)))
-    reduced = groups.join(month_days, F.col("anomes") == F.col("_a"), "left").withColumn("_set", effective)
-    shared = F.col("_set").bitwiseAND(F.col("server_days")) != 0
-    counts = (
-        reduced.select("anomes", "_set").distinct().join(masks, "anomes").where(shared)
-        .groupBy("anomes", "_set").agg(_total("seen").alias("seen"))
-    )
-    return reduced.join(counts, ["anomes", "_set"], "left").withColumn(
-        "qtd_servidores_monitorados", F.coalesce("seen", F.lit(0).cast("bigint"))
-    )
+    sets = masks.withColumnRenamed("anomes", "_a")
+    shared = F.col("group_days").bitwiseAND(F.col("server_days")) != 0
+    met = groups.join(sets, (F.col("anomes") == F.col("_a")) & shared, "left")
+    seen = F.coalesce(F.sum("seen"), F.lit(0).cast("bigint"))
+    return met.groupBy(*groups.columns).agg(seen.alias("qtd_servidores_monitorados"))
 
 
 def _executive_columns(df: DataFrame) -> DataFrame:
