@@ -228,12 +228,12 @@ def extract_server(
     """First valid candidate: patterns in order, every match of a pattern in text order.
 
     ``coalesce`` stops at the first pattern that yields a valid name, and a pattern is tried only
-    where its literal occurs. Letters outside ASCII can fold to the literal's letters, so a text
-    that has any is always tried.
+    where its literal occurs. Four letters outside ASCII fold to letters of the literals, so a text
+    that has one of them is always tried.
     """
     s = normalise_text(subject)
     low = F.lower(s) if lowered is None else lowered
-    beyond_ascii = F.octet_length(s) > F.length(s)
+    folding = _has(s, "\u017f", "\u212a", "\u0131", "\u0130")
 
     def candidate_ok(x: Column) -> Column:
         technical = x.rlike(r"[0-9._\-]")
@@ -242,7 +242,7 @@ def extract_server(
     def first_valid(literal: str, pattern: str) -> Column:
         matches = F.regexp_extract_all(s, F.lit(f"(?iU){pattern}"), F.lit(1))
         found = F.filter(F.transform(matches, lambda m: normalise_key(m)), candidate_ok)
-        return F.when(low.contains(literal) | beyond_ascii, F.get(found, 0))
+        return F.when(low.contains(literal) | folding, F.get(found, 0))
 
     return F.coalesce(*[first_valid(*p) for p in patterns], F.lit(""))
 

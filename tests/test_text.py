@@ -105,6 +105,8 @@ SERVERS = {
     "DB: prod1": "PROD1",
     "myServer: abc-12": "",                          # not a whole word
     "çServer: abc-12": "",                           # accented letters are word characters
+    "ſerver: abc-12": "ABC-12",                      # the long s folds to s
+    "SERVİDOR: abc-13": "ABC-13",
     None: "",
 }
 
