@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from deskstar.functions.temporal import month_key
+from deskstar.functions.text import normalise_text
 from deskstar.operators.capacity import capacity_deltas, window_start
 from deskstar.plans.dimensions import load_dimensions
 from deskstar.plans.facts import load_fato_csi, load_fato_servidor, load_fato_ticket
@@ -135,6 +136,12 @@ def subjects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tickets.unionAll(docs).unionAll(talks)
 
 
+def prepared_subjects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with the trimmed and the lower-case text, each computed once per row."""
+    trimmed = subjects(spark, sf_dir).withColumn("texto", normalise_text(F.col("subject")))
+    return trimmed.withColumn("minusculo", F.lower("texto"))
+
+
 # --- monitoring ------------------------------------------------------------------------------------
 def _server_months(spark: SparkSession, sf_dir: str, flags: tuple[str, ...]) -> DataFrame:
     shifted = F.add_months(F.to_date("l_shipdate"), 28 * 12)

@@ -29,7 +29,7 @@ def _prose_twin(**cols: str) -> str:
 
 
 def _prose(spark: SparkSession, sf: str, **cols: Column) -> DataFrame:
-    return b.subjects(spark, sf).select("origem", "id", *[c.alias(n) for n, c in cols.items()])
+    return b.prepared_subjects(spark, sf).select("origem", "id", *[c.alias(n) for n, c in cols.items()])
 
 
 # --- text --------------------------------------------------------------------------------------------
@@ -64,7 +64,7 @@ def _(spark, sf):
 
 @query("classify_ticket", _prose_twin(tipo_ticket=q.kind()))
 def _(spark, sf):
-    return _prose(spark, sf, tipo_ticket=text.classify_ticket(C("subject")))
+    return _prose(spark, sf, tipo_ticket=text.classify_ticket(C("texto"), lowered=C("minusculo")))
 
 
 @query("classify_ticket_legacy", _twin(tipo_ticket=q.kind_legacy()))
@@ -74,14 +74,16 @@ def _(spark, sf):
 
 @query("clean_title", _prose_twin(titulo=q.title("subject", f"({q.kind()})")))
 def _(spark, sf):
-    kind = text.classify_ticket(C("subject"))
-    return _prose(spark, sf, titulo=text.clean_title(C("subject"), kind, tuple(b.CODES.values())))
+    kind = text.classify_ticket(C("texto"), lowered=C("minusculo"))
+    title = text.clean_title(C("texto"), kind, tuple(b.CODES.values()), trimmed=True)
+    return _prose(spark, sf, titulo=title)
 
 
 @query("clean_title_legacy", _prose_twin(titulo=q.title_legacy("subject", f"({q.kind()})")))
 def _(spark, sf):
-    kind = text.classify_ticket(C("subject"))
-    return _prose(spark, sf, titulo=text.clean_title_legacy(C("subject"), kind, ("AAA", "BBB")))
+    kind = text.classify_ticket(C("texto"), lowered=C("minusculo"))
+    title = text.clean_title_legacy(C("texto"), kind, ("AAA", "BBB"), trimmed=True)
+    return _prose(spark, sf, titulo=title)
 
 
 @query("csi_status_gate", _twin(
@@ -117,12 +119,12 @@ def _(spark, sf):
 
 @query("extract_instance", _prose_twin(instancia=q.instance("subject")))
 def _(spark, sf):
-    return _prose(spark, sf, instancia=text.extract_instance(C("subject")))
+    return _prose(spark, sf, instancia=text.extract_instance(C("texto"), trimmed=True))
 
 
 @query("extract_server", _prose_twin(servidor=q.server("subject")))
 def _(spark, sf):
-    return _prose(spark, sf, servidor=text.extract_server(C("subject")))
+    return _prose(spark, sf, servidor=text.extract_server(C("texto"), lowered=C("minusculo")))
 
 
 @query("logical_server", q.with_ctes(
@@ -130,7 +132,7 @@ def _(spark, sf):
     f"{q.collapse('upper(CASE WHEN s <> ' + chr(39) * 2 + ' THEN s ELSE i END)')} AS nk_servidor FROM x",
     x=f"SELECT origem, id, {q.server('subject')} AS s, {q.instance('subject')} AS i FROM subj"))
 def _(spark, sf):
-    found = b.subjects(spark, sf).select("origem", "id", text.logical_server(C("subject")).alias("l"))
+    found = _prose(spark, sf, l=text.logical_server(C("texto"), lowered=C("minusculo")))
     return found.select("origem", "id", "l.*", text.normalise_key(C("l.nome_servidor")).alias("nk_servidor"))
 
 

@@ -144,29 +144,39 @@ def classify_ticket_legacy(ticket_type: Column, subject: Column) -> Column:
 
 
 # --- title -------------------------------------------------------------------------------------
-def _drop_prefixes(c: Column, customers: Sequence[str]) -> Column:
+def _drop_prefixes(s: Column, customers: Sequence[str]) -> Column:
     """Strip the three leading marks in order; a text without the mark's sign skips its pattern."""
+    rest = s
     for sign, pattern in (
         (":", r"(INFO(?:\s+\w+)?)\s*:\s*"),
         (":", r"(ALERT|CLEAR)\s*:\s*"),
         ("-", rf"({'|'.join(customers)})\s*-\s*"),
     ):
-        c = F.when(c.contains(sign), F.regexp_replace(c, f"(?iU)^{pattern}", "")).otherwise(c)
-    return c
+        # What is left is a part of ``s``, so ``s`` decides for every step.
+        shorter = F.regexp_replace(rest, f"(?iU)^{pattern}", "")
+        rest = F.when(s.contains(sign), shorter).otherwise(rest)
+    return rest
 
 
 def clean_title(
-    subject: Column, ticket_type: Column, customers: Sequence[str] = vocab.TITLE_CUSTOMERS
+    subject: Column,
+    ticket_type: Column,
+    customers: Sequence[str] = vocab.TITLE_CUSTOMERS,
+    trimmed: bool = False,
 ) -> Column:
-    s = normalise_text(subject)
+    """``trimmed`` says that the subject is normalised text already."""
+    s = subject if trimmed else normalise_text(subject)
     kept = F.when(ticket_type == "CSI", s).otherwise(_drop_prefixes(s, customers))
     return strip(collapse_spaces(kept))
 
 
 def clean_title_legacy(
-    subject: Column, ticket_type: Column, customers: Sequence[str] = vocab.TITLE_CUSTOMERS_LEGACY
+    subject: Column,
+    ticket_type: Column,
+    customers: Sequence[str] = vocab.TITLE_CUSTOMERS_LEGACY,
+    trimmed: bool = False,
 ) -> Column:
-    s = normalise_text(subject)
+    s = subject if trimmed else normalise_text(subject)
     return F.when(normalise_lower(ticket_type) == "csi", s).otherwise(
         strip(_drop_prefixes(s, customers))
     )
@@ -212,8 +222,8 @@ def environment_macro(c: Column) -> Column:
 
 
 # --- server and instance ---------------------------------------------------------------------------
-def extract_instance(subject: Column) -> Column:
-    s = normalise_text(subject)
+def extract_instance(subject: Column, trimmed: bool = False) -> Column:
+    s = subject if trimmed else normalise_text(subject)
     found = F.upper(strip(F.regexp_extract(s, r"\(([^)]+)\)", 1)))
     return F.when(s.contains("("), found).otherwise("")
 
@@ -229,9 +239,10 @@ def extract_server(
 
     ``coalesce`` stops at the first pattern that yields a valid name, and a pattern is tried only
     where its literal occurs. Four letters outside ASCII fold to letters of the literals, so a text
-    that has one of them is always tried.
+    that has one of them is always tried. ``lowered`` is given where a plan holds the subject
+    trimmed and in lower case already.
     """
-    s = normalise_text(subject)
+    s = normalise_text(subject) if lowered is None else subject
     low = F.lower(s) if lowered is None else lowered
     folding = _has(s, "\u017f", "\u212a", "\u0131", "\u0130")
 
@@ -247,10 +258,10 @@ def extract_server(
     return F.coalesce(*[first_valid(*p) for p in patterns], F.lit(""))
 
 
-def logical_server(subject: Column, **options) -> Column:
+def logical_server(subject: Column, lowered: Column | None = None, **options) -> Column:
     """Struct (nome_servidor, instancia); without a name the instance stands for both."""
-    name = extract_server(subject, **options)
-    instance = extract_instance(subject)
+    name = extract_server(subject, lowered=lowered, **options)
+    instance = extract_instance(subject, trimmed=lowered is not None)
     return F.struct(
         F.coalesce(F.nullif(name, F.lit("")), instance).alias("nome_servidor"),
         instance.alias("instancia"),

@@ -101,7 +101,7 @@ def build_curated_tickets(
             "data_ultima_alteracao": F.date_format(updated, "yyyy-MM-dd"),
             "status_ticket": text.map_status(F.col("status")),
             "foi_atuado": temporal.acted_flag(created, updated),
-            "titulo_ticket": text.clean_title(subject, kind, title_customers),
+            "titulo_ticket": text.clean_title(subject, kind, title_customers, trimmed=True),
             "csi_status": text.csi_status_gate(quoted("custom_fields.cf_csi_status"), kind),
             "sgdb": text.detect_dbms(quoted("custom_fields.cf_sgdb"), subject, uppered=up),
             "ambiente": text.normalise_environment(quoted("custom_fields.cf_ambiente")),
