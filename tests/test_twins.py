@@ -2,10 +2,10 @@
 
 import pytest
 
-import __spark_entry__ as entry
+from deskstar.catalogue import QUERIES, TWINS
 from compare import compare, connect
 
-QUERIES, TWINS = entry.queries(), entry.oracle_sql()
+
 
 
 @pytest.fixture(scope="module")
