@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from deskstar.llm import collisions, language, line_dedup, mixing, neighbours, pieces, sharding
+from deskstar.llm import collisions, language, line_dedup, mixing, near_documents, neighbours, pieces, sharding
 from deskstar.llm.common import bytes_length, documents, embeddings
 from deskstar.session import prepare
 
@@ -139,3 +139,8 @@ def shard(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_collision_counting")
 def collision_counting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collisions.near_duplicates(embeddings(spark, sf_dir))
+
+
+@query("op10_near_documents")
+def near_documents_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_documents.near_duplicate_groups(documents(spark, sf_dir))
