@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from deskstar.llm import collisions, language, line_dedup, mixing, near_documents, neighbours, pieces, sharding
+from deskstar.llm import collisions, language, line_dedup, mixing, near_documents, neighbours, pieces, repeats, sharding
 from deskstar.llm.common import bytes_length, documents, embeddings
 from deskstar.session import prepare
 
@@ -144,3 +144,12 @@ def collision_counting(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_near_documents")
 def near_documents_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_documents.near_duplicate_groups(documents(spark, sf_dir))
+
+
+@query("op9_suffix_dedup")
+def suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    cut = F.col("cut")
+    return repeats.drop_repeats(docs, into="cut").select(
+        "doc_id", cut["n_bytes"].alias("n_bytes"), cut["n_removed"].alias("n_removed"),
+        cut["n_spans"].alias("n_spans"), F.sha2(cut["kept"], 256).alias("kept_sha256"))
