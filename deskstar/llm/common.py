@@ -35,8 +35,10 @@ def shared_folder(spark: SparkSession) -> str:
 def staged(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back, which cuts the lineage.
 
-    The files may be expired once the result that is built on them has been written.
+    The files may be expired once the result that is built on them has been written. The shuffles of the write are of no
+    use afterwards, so Spark is told to remove them with it.
     """
+    df.sparkSession.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
     path = f"{shared_folder(df.sparkSession)}/llm/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

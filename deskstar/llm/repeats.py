@@ -29,6 +29,7 @@ GRAM = 20
 BASE = 0x9E3779B97F4A7C15
 MASK = (1 << 64) - 1
 CHUNK_BYTES = 24 << 20
+PLANES = (4, 4, 2, 4, 6)  # bytes of document step, position step, width and the two digits
 BUCKET_BYTES = 8 << 20
 PACKED = "bucket int, part binary"
 FOUND = "id bigint, mark bigint, first int, last int, open boolean"
@@ -102,7 +103,7 @@ class Packer:
         number, first, last, digit, whole = (np.concatenate(x) for x in zip(*self.parts, strict=True))
         ids, marks = np.array(self.ids, dtype=np.int64), np.array(self.marks, dtype=np.int64)
         settled = smallest(ids[number], digit, whole) < ids[number]
-        bucket = ((digit >> np.uint64(40)) % np.uint64(self.buckets)).astype(np.int64)
+        bucket = ((digit >> np.uint64(32)) % np.uint64(self.buckets)).astype(np.int64)
         bucket[settled] = self.buckets + self.turn % self.buckets
         self.turn += 1
         order = np.argsort(bucket, kind="stable")
@@ -115,35 +116,35 @@ class Packer:
 
 
 def pack(ids, marks, number, first, last, digit, whole) -> bytes:
-    """Bytes of a bucket's share: only the documents it names, positions as differences, digits cut to 40 and 56 bits."""
+    """Bytes of a bucket's share: only the documents it names, positions as differences, digits cut to 32 and 48 bits.
+
+    Numbers are laid out by significance of their bytes, so that the many zero bytes compress.
+    """
     used, number = np.unique(number, return_inverse=True)
-    head = np.array([len(used), len(number)], dtype=np.int64)
-    low = np.concatenate([x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :n].T.ravel() for x, n in ((digit, 5), (whole, 7))])
-    return b"".join(x.tobytes() for x in (
-        head, ids[used], marks[used], np.diff(number, prepend=0).astype(np.uint32),
-        np.diff(first.astype(np.int64), prepend=0).astype(np.int32), (last - first).astype(np.uint16), low))
+    columns = (np.diff(number, prepend=0), first - np.where(np.diff(number, prepend=-1) == 0, np.roll(first, 1), 0),
+               last - first, digit, whole)
+    planes = [x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :n].T.tobytes()
+              for x, n in zip(columns, PLANES, strict=True)]
+    return b"".join([np.array([len(used), len(number)], dtype=np.int64).tobytes(), ids[used].tobytes(),
+                     marks[used].tobytes(), *planes])
 
 
 def unpack(blob: bytes) -> tuple[np.ndarray, ...]:
     docs, n = (int(x) for x in np.frombuffer(blob, np.int64, 2))
-    at = 16
-
-    def take(kind, count):
-        nonlocal at
-        found = np.frombuffer(blob, kind, count, at)
-        at += found.nbytes
-        return found
-
-    ids, marks = take(np.int64, docs), take(np.int64, docs)
-    number = np.cumsum(take(np.uint32, n), dtype=np.int64)
-    first = np.cumsum(take(np.int32, n), dtype=np.int64)
-    last = first + take(np.uint16, n)
-    digits = []
-    for size in (5, 7):
+    ids, marks = np.frombuffer(blob, np.int64, docs, 16), np.frombuffer(blob, np.int64, docs, 16 + 8 * docs)
+    at, columns = 16 + 16 * docs, []
+    for size in PLANES:
         full = np.zeros((n, 8), dtype=np.uint8)
-        full[:, :size] = take(np.uint8, n * size).reshape(size, n).T
-        digits.append(full.view("<u8").ravel())
-    return ids[number], marks[number], first, last, *digits
+        full[:, :size] = np.frombuffer(blob, np.uint8, n * size, at).reshape(size, n).T
+        columns.append(full.view("<u8").ravel())
+        at += n * size
+    step, ahead, wide, digit, whole = columns
+    number, ahead = np.cumsum(step.astype(np.int64)), ahead.astype(np.int64)
+    # Positions are differences within a document.
+    total = np.cumsum(ahead)
+    begins = np.flatnonzero(np.diff(number, prepend=-1))
+    first = total - np.repeat((total - ahead)[begins], np.diff(np.append(begins, n)))
+    return ids[number], marks[number], first, first + wide.astype(np.int64), digit, whole
 
 
 def smallest(ids: np.ndarray, *keys: np.ndarray) -> np.ndarray:
@@ -227,7 +228,7 @@ def repeated_spans(docs: DataFrame, id_: str, mark: str, text: str, length: int)
         return found_rows(ids[held], marks[held], first[held], last[held], np.zeros(int(held.sum()), dtype=bool))
 
     fine = usable.join(asked, ["id", "mark"]).select("id", "mark", "text", "spans").mapInArrow(by_suffix, PACKED)
-    fine = fine.groupBy("bucket").applyInArrow(settle_suffixes, FOUND)
+    fine = staged(fine.groupBy("bucket").applyInArrow(settle_suffixes, FOUND), "suffixes")
     return coarse.where("not open").union(fine).select("id", "mark", span.alias("span"))
 
 
