@@ -81,7 +81,7 @@ class Segmenter:
     def lay_out(self) -> None:
         """Transitions and output links over the table's characters as arrays."""
         common = Counter(c for piece, _, _ in self.v.pieces for c in set(piece) if c in self.alone)
-        first = sorted(common, key=lambda c: (c >= "\u0250", -common[c], c))  # Latin letters, then the most common
+        first = sorted(common, key=lambda c: (c >= "\u0250" and c != SPACE, -common[c], c))  # Latin, then the most common
         self.codes = {c: k for k, c in enumerate(first[:TABLE_CHARS])}
         self.code_of = np.full(0x110000, -1, dtype=np.int32)
         for c, k in self.codes.items():
