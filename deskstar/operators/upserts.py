@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from deskstar import schemas
@@ -12,9 +12,15 @@ from deskstar.operators.keys import assign_surrogate_keys, next_key
 from deskstar.sources.warehouse import Warehouse
 
 
-def _periods(df: DataFrame, name: str) -> list[int]:
-    """Distinct partition values; calendar periods, so a short list."""
-    return sorted(r[0] for r in df.select(name).distinct().collect() if r[0] is not None)
+def _periods(df: DataFrame, name: str) -> set[int | None]:
+    """Distinct partition values; calendar periods, so a short list. NULL is a period of its own."""
+    return {r[0] for r in df.select(name).distinct().collect()}
+
+
+def _within(name: str, periods: set[int | None]) -> Column:
+    """Whether a row lies in one of the periods."""
+    inside = F.col(name).isin(sorted(p for p in periods if p is not None))
+    return F.col(name).isNull() | inside if None in periods else F.col(name).isNotNull() & inside
 
 
 def upsert_by_id(
@@ -38,8 +44,8 @@ def upsert_by_id(
     keys = fresh.select(key).distinct()
     hit = _periods(stored.select(key, month).join(keys, key, "left_semi"), month)
     incoming = _periods(fresh, month)
-    kept = stored.where(F.col(month).isin(sorted({*hit, *incoming}))).join(keys, key, "left_anti")
-    emptied = set(hit) - set(incoming) - set(_periods(kept, month)) if set(hit) - set(incoming) else set()
+    kept = stored.where(_within(month, hit | incoming)).join(keys, key, "left_anti")
+    emptied = hit - incoming - _periods(kept, month) if hit - incoming else set()
     warehouse.overwrite_partitions(kept.unionByName(keyed), table)
     for value in emptied:
         warehouse.clear_partition(table, value)

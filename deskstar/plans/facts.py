@@ -66,6 +66,16 @@ def ticket_fact(warehouse: Warehouse, curated: DataFrame) -> DataFrame:
     return role_playing_dates(df, warehouse.read_dimension("dim_tempo"), roles, spread)
 
 
+def _keep_rejects(
+    warehouse: Warehouse, bad: DataFrame, table: str, keys: list[str], mandatory: dict[str, str], mode: str
+) -> None:
+    """In quarantine, store the rows whose mandatory keys did not resolve, with the columns at fault."""
+    if mode == "strict":
+        return
+    faults = [F.when(F.col(sk).isNull(), F.lit(source)) for sk, source in mandatory.items()]
+    warehouse.reject(bad, table, keys, F.concat_ws(", ", *faults))
+
+
 TICKET_MANDATORY = {
     "sk_cliente": "empresa", "sk_tipo_ticket": "tipo_ticket", "sk_tempo_criacao": "data_criacao",
 }
@@ -74,7 +84,8 @@ TICKET_MANDATORY = {
 def load_fato_ticket(
     warehouse: Warehouse, curated: DataFrame, mode: str = "strict", load_ts: Column | None = None
 ) -> DataFrame:
-    good, _ = require_resolved_sk(ticket_fact(warehouse, curated), TICKET_MANDATORY, mode)
+    good, bad = require_resolved_sk(ticket_fact(warehouse, curated), TICKET_MANDATORY, mode)
+    _keep_rejects(warehouse, bad, "fato_ticket", ["id_ticket"], TICKET_MANDATORY, mode)
     unique = keep_first(good, ["id_ticket"], _by_file_order(good))
     batch = unique.withColumnRenamed("id_ticket", "id_ticket_origem").withColumn("data_carga", _load_ts(load_ts))
     return upsert_by_id(warehouse, "fato_ticket", batch, sk="sk_ticket")
@@ -102,7 +113,8 @@ CSI_MANDATORY = {"sk_status_csi": "csi_status", "sk_tempo_criacao": "data_criaca
 def load_fato_csi(
     warehouse: Warehouse, curated: DataFrame, mode: str = "strict", load_ts: Column | None = None
 ) -> DataFrame:
-    good, _ = require_resolved_sk(csi_fact(warehouse, curated), CSI_MANDATORY, mode)
+    good, bad = require_resolved_sk(csi_fact(warehouse, curated), CSI_MANDATORY, mode)
+    _keep_rejects(warehouse, bad, "fato_csi", ["id_ticket"], CSI_MANDATORY, mode)
     unique = keep_first(good, ["id_ticket"], _by_file_order(good))
     batch = unique.withColumnsRenamed(
         {"id_ticket": "id_ticket_origem", "titulo_ticket": "titulo_csi"}
@@ -183,7 +195,8 @@ def load_fato_servidor(
     """Reference months, servers and the monthly fact out of one staging file."""
     prepared = warehouse.stage(prepare_servers(staging, mode), "servers")
     load_feed_dimensions(warehouse, prepared)
-    good, _ = require_resolved_sk(server_fact(warehouse, prepared), SERVER_MANDATORY, mode)
+    good, bad = require_resolved_sk(server_fact(warehouse, prepared), SERVER_MANDATORY, mode)
+    _keep_rejects(warehouse, bad, "fato_servidor", ["NK_SERVIDOR", "ANOMES"], SERVER_MANDATORY, mode)
     unique = keep_first(good, ["sk_servidor", "sk_tempo_referencia"], server_order(good))
     batch = lower_names(unique).withColumns(
         {"arquivo_origem": F.lit(source).cast("string"), "data_carga": _load_ts(load_ts)}

@@ -51,7 +51,9 @@ def scratch_root(spark: SparkSession) -> str:
     sc = spark.sparkContext
     if not sc.master.startswith("local"):
         raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
-    return _local_scratch.setdefault(sc.applicationId, tempfile.mkdtemp(prefix="deskstar-"))
+    if sc.applicationId not in _local_scratch:
+        _local_scratch[sc.applicationId] = tempfile.mkdtemp(prefix="deskstar-")
+    return _local_scratch[sc.applicationId]
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:

@@ -53,15 +53,19 @@ def read_delimited_auto(
     schema: T.StructType | None = None,
     null_value: str | None = None,
     order_col: str | None = None,
+    sep: str | None = None,
+    multi_line: bool = True,
 ) -> DataFrame:
     """Read a CSV written with commas, or with semicolons when commas give a single column.
 
-    Only the header line is looked at to choose. Quoted line breaks and doubled quotes are kept.
+    Only the header line is looked at to choose; give ``sep`` for a folder of mixed files. Quoted line breaks and doubled
+    quotes are kept; without line breaks in quotes, ``multi_line=False`` lets Spark split large files.
     """
-    header = spark.read.text(path).first()
-    sep = "," if header and "," in header[0] else ";"
+    if sep is None:
+        header = spark.read.text(path).first()
+        sep = "," if header and "," in header[0] else ";"
     reader = (
-        spark.read.option("header", True).option("sep", sep).option("multiLine", True)
+        spark.read.option("header", True).option("sep", sep).option("multiLine", multi_line)
         .option("quote", '"').option("escape", '"')
     )
     if null_value is not None:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -35,7 +37,9 @@ class Warehouse:
     def exists(self, table: str) -> bool:
         try:
             self.spark.read.schema(schemas.TABLE[table]).parquet(self.path(table))
-        except AnalysisException:
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
             return False
         return True
 
@@ -91,12 +95,35 @@ class Warehouse:
             .option("partitionOverwriteMode", "dynamic").parquet(self.path(table))
         )
 
-    def clear_partition(self, table: str, value: int) -> None:
+    def clear_partition(self, table: str, value: int | None) -> None:
         """Leave a partition without rows."""
         stored = self.physical(table)
         name = schemas.PARTITION[table]
         empty = self.spark.createDataFrame([], T.StructType([f for f in stored.schema if f.name != name]))
-        empty.write.mode("overwrite").parquet(f"{self.path(table)}/{name}={value}")
+        folder = "__HIVE_DEFAULT_PARTITION__" if value is None else value
+        empty.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(
+            f"{self.path(table)}/{name}={folder}")
+
+    def rejects_path(self, table: str) -> str:
+        return f"{self.root}/rejeitados/{table}"
+
+    def reject(self, df: DataFrame, table: str, keys: Sequence[str], reason: Column) -> None:
+        """Keep the rows a load did not take: their key, why, the whole row as JSON and the time of the load."""
+        df.select(
+            F.concat_ws("|", *[F.col(k).cast("string") for k in keys]).alias("chave"), reason.alias("motivo"),
+            F.to_json(F.struct(*df.columns)).alias("linha"), F.current_timestamp().alias("data_carga"),
+        ).write.mode("append").parquet(self.rejects_path(table))
+
+    def rejected(self, table: str) -> DataFrame:
+        """The rows that loads of a table did not take; a row rejected again shows its last load only."""
+        schema = "chave string, motivo string, linha string, data_carga timestamp"
+        try:
+            stored = self.spark.read.schema(schema).parquet(self.rejects_path(table))
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return self.spark.createDataFrame([], schema)
+        return stored.groupBy("chave", "motivo", "linha").agg(F.max("data_carga").alias("data_carga"))
 
     def replace(self, df: DataFrame, table: str) -> None:
         """Rewrite a whole unpartitioned table; the new rows are staged first."""

@@ -114,3 +114,24 @@ def test_profiles(spark):
     report = quality.audit_report(df, df, "k", "k", {"a.b": ["x"]}, ["k"])
     assert [(r.valor, r.linhas) for r in report["dominio_a.b"].collect()] == [("y", 1)]
     assert report["diferenca"].isEmpty()
+
+
+def test_upsert_keeps_the_rows_without_a_month(spark, tmp_path):
+    wh = Warehouse(spark, str(tmp_path))
+    schema = "id_ticket_origem bigint, sk_tempo_criacao int, titulo_ticket string"
+    load = lambda *batch: upserts.upsert_by_id(
+        wh, "fato_ticket", spark.createDataFrame(list(batch), schema), sk="sk_ticket")
+    load((10, None, "a"), (11, None, "b"), (1, 20240105, "c"))
+    load((12, None, "d"))
+    load((11, 20240105, "e"))
+    assert rows(wh.read("fato_ticket").select("id_ticket_origem", "titulo_ticket")) == [
+        (1, "c"), (10, "a"), (11, "e"), (12, "d")]
+
+
+def test_rejected_rows_are_kept_once(spark, tmp_path):
+    wh = Warehouse(spark, str(tmp_path))
+    assert wh.rejected("fato_csi").count() == 0
+    bad = spark.createDataFrame([(1, None, "x"), (2, None, "y")], "id_ticket bigint, sk int, titulo string")
+    for _ in range(2):
+        wh.reject(bad, "fato_csi", ["id_ticket"], F.lit("csi_status"))
+    assert rows(wh.rejected("fato_csi").select("chave", "motivo")) == [("1", "csi_status"), ("2", "csi_status")]
