@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from deskstar.llm import collisions, language, line_dedup, mixing, near_documents, neighbours, pieces, repeats, sharding
+from deskstar.llm import collisions, language, line_dedup, mixing, near_documents, neighbours, pieces, repeats, revisits, sharding
 from deskstar.llm.common import bytes_length, documents, embeddings
 from deskstar.session import prepare
 
@@ -153,3 +153,17 @@ def suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.drop_repeats(docs, into="cut").select(
         "doc_id", cut["n_bytes"].alias("n_bytes"), cut["n_removed"].alias("n_removed"),
         cut["n_spans"].alias("n_spans"), F.sha2(cut["kept"], 256).alias("kept_sha256"))
+
+
+@query("op3_warc_revisits")
+def warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages as captures in order of id: every third is a revisit that only has the URL's host and its validator."""
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    host = F.regexp_extract("url", "^([a-zA-Z]+://[^/?#]*)", 1)
+    tag = F.when(F.col("page_id") % 5 == 0, F.lit("other")).otherwise(F.lit("one"))
+    records = pages.select(
+        F.col("page_id").alias("id"), host.alias("url"), F.col("page_id").alias("at"),
+        (F.col("page_id") % 3 == 0).alias("revisit"), tag.alias("etag"),
+        F.create_map(F.lit("etag"), tag, F.lit("content-length"), F.length("html").cast("string")).alias("headers"))
+    found = revisits.resolve(records)
+    return found.select(F.col("id").alias("page_id"), "response_id", F.col("headers")["content-length"].alias("content_length"))
