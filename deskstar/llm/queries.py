@@ -157,13 +157,13 @@ def suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op3_warc_revisits")
 def warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pages as captures in order of id: every third is a revisit that only has the URL's host and its validator."""
+    """Pages as captures in order of id: a third, by a checksum of the id, are revisits with the URL's host and its validator."""
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
     host = F.regexp_extract("url", "^([a-zA-Z]+://[^/?#]*)", 1)
     tag = F.when(F.col("page_id") % 5 == 0, F.lit("other")).otherwise(F.lit("one"))
     records = pages.select(
         F.col("page_id").alias("id"), host.alias("url"), F.col("page_id").alias("at"),
-        (F.col("page_id") % 3 == 0).alias("revisit"), tag.alias("etag"),
+        (F.crc32(F.col("page_id").cast("string").cast("binary")) % 3 == 0).alias("revisit"), tag.alias("etag"),
         F.create_map(F.lit("etag"), tag, F.lit("content-length"), F.length("html").cast("string")).alias("headers"))
     found = revisits.resolve(records)
     return found.select(F.col("id").alias("page_id"), "response_id", F.col("headers")["content-length"].alias("content_length"))
