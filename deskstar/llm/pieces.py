@@ -288,10 +288,10 @@ def decoded(spark: SparkSession, ids: Column, vocabulary: Vocabulary) -> Column:
     held = spark.sparkContext.broadcast(vocabulary)
 
     def decode(lists: pa.Array) -> pa.Array:
-        flat = lists.flatten().to_numpy().tolist()
+        flat = lists.flatten().to_numpy()
         out, at = [], 0
         for n in lists.value_lengths().to_pylist():
-            out.append(None if n is None else decode_ids(held.value, flat[at:at + n]))
+            out.append(None if n is None else decode_ids(held.value, flat[at:at + n].tolist()))
             at += n or 0
         return pa.array(out, pa.string())
 
