@@ -255,6 +255,30 @@ def test_near_documents(spark, docs, odd, none):
     assert near_documents.near_duplicate_groups(none).count() == 0
 
 
+def test_loose_copies_and_the_parity_bound(spark):
+    """Copies of one text at all distances: groups as by brute force, and no similar pair is outside the bound."""
+    rng = np.random.default_rng(5)
+    rows = []
+    for i in range(160):
+        text = [f"w{k}" for k in range(150)]
+        for k in rng.choice(150, int(rng.integers(0, 14)), replace=False):
+            text[k] = f"x{rng.integers(1 << 30)}"
+        rows.append((i, " ".join(text), "en", "a", 1, "s", 2, 3))
+    df = spark.createDataFrame(rows, SCHEMA)
+    found = near_documents.near_duplicate_groups(df).collect()
+    assert Counter((r["doc_id"], r["group_id"]) for r in found) == brute_groups(df)
+    weights, words = near_documents.frequent_shingles(df, "text", 0.01), near_documents.WordHashes()
+    texts = [near_documents.shingles(r[1], words) for r in rows]
+    weighed = [(k, weights.of(k, n)) for k, n in texts]
+    numbered = df.select(F.col("doc_id").alias("number"), "text")
+    totals = spark.createDataFrame([(i, float(w.sum())) for i, (_, w) in enumerate(weighed)], "number long, total double")
+    sketches = near_documents.parities(numbered, weights).join(totals, "number")
+    pairs = sketches.alias("x").join(sketches.alias("y"), F.col("x.number") < F.col("y.number")).where(
+        near_documents.within_bound("x", "y", 0.8)).select(F.col("x.number"), F.col("y.number")).collect()
+    near = {(i, j) for j in range(160) for i in range(j) if near_documents.jaccard(weighed[i], weighed[j]) >= 0.8}
+    assert near <= set(map(tuple, pairs)) and len(pairs) < 160 * 159 / 4
+
+
 def test_frequent_shingles_are_counted_exactly(docs):
     weights = near_documents.frequent_shingles(docs, "text", 0.02)
     words, n, counts = near_documents.WordHashes(), docs.count(), Counter()
