@@ -274,7 +274,7 @@ def test_loose_copies_and_the_parity_bound(spark):
     totals = spark.createDataFrame([(i, float(w.sum())) for i, (_, w) in enumerate(weighed)], "number long, total double")
     sketches = near_documents.parities(numbered, weights).join(totals, "number")
     pairs = sketches.alias("x").join(sketches.alias("y"), F.col("x.number") < F.col("y.number")).where(
-        near_documents.within_bound("x", "y", 0.8)).select(F.col("x.number"), F.col("y.number")).collect()
+        near_documents.within_bound("x", "y", 0.8, weights.rare)).select(F.col("x.number"), F.col("y.number")).collect()
     near = {(i, j) for j in range(160) for i in range(j) if near_documents.jaccard(weighed[i], weighed[j]) >= 0.8}
     assert near <= set(map(tuple, pairs)) and len(pairs) < 160 * 159 / 4
 
