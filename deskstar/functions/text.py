@@ -231,7 +231,7 @@ def extract_instance(subject: Column, trimmed: bool = False) -> Column:
 def extract_server(
     subject: Column,
     patterns: Sequence[tuple[str, str]] = vocab.SERVER_PATTERNS,
-    stop_words: Sequence[str] = vocab.SERVER_STOP_WORDS,
+    stop_words: Sequence[str] = (),
     min_length: int = 5,
     lowered: Column | None = None,
 ) -> Column:
@@ -239,7 +239,8 @@ def extract_server(
 
     ``coalesce`` stops at the first pattern that yields a valid name, and a pattern is tried only
     where its literal occurs. Four letters outside ASCII fold to letters of the literals, so a text
-    that has one of them is always tried. ``lowered`` is given where a plan holds the subject
+    that has one of them is always tried. ``stop_words`` (upper case) are no names; plain words need
+    not be listed, as a name holds a digit, dot, underscore or hyphen. ``lowered`` is given where a plan holds the subject
     trimmed and in lower case already.
     """
     s = normalise_text(subject) if lowered is None else subject
@@ -248,7 +249,8 @@ def extract_server(
 
     def candidate_ok(x: Column) -> Column:
         technical = x.rlike(r"[0-9._\-]")
-        return (F.length(x) >= min_length) & technical & ~x.isin(*stop_words)
+        ok = (F.length(x) >= min_length) & technical
+        return ok & ~x.isin(*stop_words) if stop_words else ok
 
     def first_valid(literal: str, pattern: str) -> Column:
         matches = F.regexp_extract_all(s, F.lit(f"(?iU){pattern}"), F.lit(1))

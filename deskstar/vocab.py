@@ -112,20 +112,6 @@ SERVER_PATTERNS = (
     ("-", r"-\s*([A-Z0-9._\-]{5,})\s*\("),
 )
 
-SERVER_STOP_WORDS = (
-    "CHECKLIST", "ORACLE", "SERVER", "SUMMARY", "HEALTH",
-    "DIARIO", "DIÁRIO", "CSI", "CRISE", "INCIDENTE",
-    "MILLS", "SENAC", "SES", "AND", "MCP", "NOSSA",
-    "ALERTA", "ALERT", "CLEAR", "DATABASE", "CAPACIDADE",
-    "SQL", "SQLSERVER", "POSTGRES", "POSTGRESQL", "MYSQL",
-    "MONGODB", "STORAGE", "BANCO", "GESTAO", "GESTÃO",
-    "SAP", "ANALISE", "ANÁLISE", "APOIO", "CARGA",
-    "CARREGAR", "LOGFILE", "RECARGA", "RELEASE",
-    "REPLICAR", "SENHA", "BACKUP", "RESTORE", "ERRO",
-    "FALHA", "ACESSO", "USUARIO", "USUÁRIO", "PERMISSAO",
-    "PERMISSÃO", "TABELA", "INDICE", "ÍNDICE",
-)
-
 # --- flags and calendar ----------------------------------------------------------------------
 ACTED_FLAGS = {"sim": 1, "não": 0, "nao": 0}
 
