@@ -33,7 +33,7 @@ def without_shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The kept document of each group of near-duplicates: the one with the smallest id."""
-    return near_documents.without_near_duplicates(docs)
+    return near_documents.without_near_duplicates(docs, floor=0.0)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -279,6 +279,20 @@ def test_loose_copies_and_the_parity_bound(spark):
     assert near <= set(map(tuple, pairs)) and len(pairs) < 160 * 159 / 4
 
 
+def test_every_document_frequency_counts(spark, sf_dir, docs, odd):
+    """Without a floor: as by brute force, and texts that share a rare template are not one document."""
+    template = " ".join(f"t{k}" for k in range(93))
+    texts = [f"{template} " + " ".join(f"u{i}x{k}" for k in range(11)) for i in range(5)]
+    texts += [" ".join(f"f{i}x{k}" for k in range(6)) for i in range(495)]
+    df = spark.createDataFrame([(i, t, "en", "a", 1, "s", 2, 3) for i, t in enumerate(texts)], SCHEMA)
+    assert corpus_pipeline.one_of_each_group(spark, df, sf_dir).count() == 500
+    for each in (df, odd):
+        rows = near_documents.near_duplicate_groups(each, floor=0.0).collect()
+        assert Counter((r["doc_id"], r["group_id"]) for r in rows) == brute_groups(each, floor=0)
+    rows = QUERIES["op10_near_documents"](spark, sf_dir).collect()
+    assert Counter((r["doc_id"], r["group_id"]) for r in rows) == brute_groups(docs, floor=0)
+
+
 def test_frequent_shingles_are_counted_exactly(docs):
     weights = near_documents.frequent_shingles(docs, "text", 0.02)
     words, n, counts = near_documents.WordHashes(), docs.count(), Counter()
