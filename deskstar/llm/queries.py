@@ -155,15 +155,60 @@ def suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         cut["n_spans"].alias("n_spans"), F.sha2(cut["kept"], 256).alias("kept_sha256"))
 
 
-@query("op3_warc_revisits")
+REVISITS_SQL = r"""
+WITH parts AS (
+    SELECT page_id AS n, k, page_id * 3 + k AS id, url, html, regexp_extract(url, '^([a-z]+)://', 1) AS scheme,
+           regexp_extract(url, '^[a-z]+://([^/?#]*)', 1) AS host, regexp_extract(url, '^[a-z]+://[^/?#]*(.*)$', 1) AS tail
+    FROM pages, (VALUES (0), (1), (2)) t(k)),
+records AS (
+    SELECT n, k, id, k > 0 AS revisit, html,
+           trim(CASE k WHEN 0 THEN url WHEN 1 THEN url || '#again'
+                ELSE upper(scheme) || '://' || host || CASE WHEN (scheme = 'https') <> (n % 9 = 0) THEN ':443' ELSE ':80' END || tail
+                END) AS url,
+           CASE WHEN n % 5 = 0 OR k = 1 AND n % 6 = 0 THEN NULL WHEN k = 2 AND n % 4 = 0 THEN 'other'
+                ELSE 'e' || (n % 7) END AS etag,
+           CASE WHEN k = 2 THEN 'late' WHEN n % 3 = 0 THEN NULL ELSE 'd' || (n % 8) END AS modified
+    FROM parts),
+plain AS (SELECT * REPLACE (regexp_replace(url, '#.*$', '') AS url) FROM records),
+heads AS (SELECT *, regexp_extract(url, '^([a-zA-Z]+://[^/?]*)', 1) AS head FROM plain),
+keyed AS (
+    SELECT *, CASE WHEN head = '' THEN url ELSE
+           CASE WHEN lower(head) LIKE 'http://%:80' THEN lower(head[:-4]) WHEN lower(head) LIKE 'https://%:443' THEN lower(head[:-5])
+                ELSE lower(head) END || CASE WHEN length(url) = length(head) THEN '/' ELSE url[length(head) + 1:] END END AS key
+    FROM heads),
+paired AS (
+    SELECT v.*, f.id AS response, length(f.html) AS size, f.modified AS old,
+           CASE WHEN v.etag IS NOT NULL AND f.etag IS NOT NULL THEN v.etag = f.etag ELSE v.modified = f.modified END AS matches
+    FROM keyed v ASOF LEFT JOIN (SELECT * FROM keyed WHERE NOT revisit) f ON v.key = f.key AND v.id > f.id)
+SELECT n AS page_id, k AS capture, CASE WHEN NOT revisit THEN id WHEN matches THEN response END AS response_id,
+       CAST(CASE WHEN NOT revisit THEN length(html) WHEN matches THEN size END AS VARCHAR) AS content_length,
+       CASE WHEN revisit AND matches THEN coalesce(modified, old) ELSE modified END AS last_modified
+FROM paired
+"""
+
+
+@query("op3_warc_revisits", REVISITS_SQL)
 def warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pages as captures in order of id: a third, by a checksum of the id, are revisits with the URL's host and its validator."""
+    """Each page as three captures, in order of id: in full, and two revisits whose URL and validators are written otherwise."""
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
-    host = F.regexp_extract("url", "^([a-zA-Z]+://[^/?#]*)", 1)
-    tag = F.when(F.col("page_id") % 5 == 0, F.lit("other")).otherwise(F.lit("one"))
-    records = pages.select(
-        F.col("page_id").alias("id"), host.alias("url"), F.col("page_id").alias("at"),
-        (F.crc32(F.col("page_id").cast("string").cast("binary")) % 3 == 0).alias("revisit"), tag.alias("etag"),
-        F.create_map(F.lit("etag"), tag, F.lit("content-length"), F.length("html").cast("string")).alias("headers"))
+    n, k = F.col("page_id"), F.col("capture")
+    scheme = F.regexp_extract("url", "^([a-z]+)://", 1)
+    port = F.when((scheme == "https") != (n % 9 == 0), ":443").otherwise(":80")
+    again = F.concat(F.upper(scheme), F.lit("://"), F.regexp_extract("url", "^[a-z]+://([^/?#]*)", 1), port,
+                     F.regexp_extract("url", "^[a-z]+://[^/?#]*(.*)$", 1))
+    url = F.when(k == 0, F.col("url")).when(k == 1, F.concat("url", F.lit("#again"))).otherwise(again)
+    none = F.lit(None).cast("string")
+    tag = F.when((n % 5 == 0) | (k == 1) & (n % 6 == 0), none).when((k == 2) & (n % 4 == 0), "other").otherwise(
+        F.concat(F.when(k == 0, "W/e").otherwise("e"), (n % 7).cast("string")))
+    modified = F.when(k == 2, "late").when(n % 3 == 0, none).otherwise(F.concat(F.lit("d"), (n % 8).cast("string")))
+    headers = F.create_map(F.lit("etag"), tag, F.lit("last-modified"), modified, F.lit("content-length"),
+                           F.when(k == 0, F.col("size").cast("string")))
+    captures = pages.select("page_id", "url", F.length("html").alias("size"), F.explode(
+        F.array(F.lit(0), F.lit(1), F.lit(2))).alias("capture"))
+    records = captures.select(
+        (n * 3 + k).alias("id"), url.alias("url"), (n * 3 + k).alias("at"), (k > 0).alias("revisit"), tag.alias("etag"),
+        modified.alias("last_modified"), F.map_filter(headers, lambda _, v: v.isNotNull()).alias("headers"))
     found = revisits.resolve(records)
-    return found.select(F.col("id").alias("page_id"), "response_id", F.col("headers")["content-length"].alias("content_length"))
+    return found.select(
+        F.floor(F.col("id") / 3).alias("page_id"), (F.col("id") % 3).cast("int").alias("capture"), "response_id",
+        F.col("headers")["content-length"].alias("content_length"), F.col("headers")["last-modified"].alias("last_modified"))

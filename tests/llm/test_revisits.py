@@ -11,3 +11,14 @@ def test_resolve(spark):
     assert {k: r["response_id"] for k, r in found.items()} == {1: 1, 2: 1, 3: None, 4: 4, 5: 4, 6: None, 7: None, 8: None}
     assert found[2]["headers"] == {"type": "t", "date": "2"}
     assert revisits.resolve(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_last_modified_and_ports(spark):
+    rows = [(1, "http://h/", 1, False, None, "m", {}), (2, "http://h:80/", 2, True, None, "m", {"last-modified": "m"}),
+            (3, "http://h:443/", 3, True, None, "m", {}), (4, "https://h:443", 4, False, "e", "m", {}),
+            (5, "https://h/", 5, True, "f", "m", {}), (6, "https://h/", 6, True, None, "m", {}),
+            (7, "https://h:80/", 7, True, "e", None, {}), (8, "https://h/", 8, True, None, "o", {})]
+    schema = SCHEMA.replace("headers", "last_modified string, headers")
+    found = {r["id"]: r for r in revisits.resolve(spark.createDataFrame(rows, schema)).collect()}
+    assert {k: r["response_id"] for k, r in found.items()} == {1: 1, 2: 1, 3: None, 4: 4, 5: None, 6: 4, 7: None, 8: None}
+    assert found[2]["headers"] == {"last-modified": "m"}
