@@ -162,3 +162,14 @@ def _(spark, sf):
                    {"sk_cliente": "dim_cliente", "sk_servidor": "dim_servidor", "sk_tipo_ticket": "dim_tipo_ticket"})
     return named.select("id_ticket_origem", "nm_cliente", "nk_servidor", "nm_tipo_ticket", "sk_tempo_criacao",
                         "sk_tempo_ultima_alt", "foi_atuado", "tempo_resolucao_horas", "titulo_ticket")
+
+
+@query("stream_tickets_status", q.with_ctes("""SELECT f.id_ticket_origem, t.nm_status_ticket FROM fato_ticket f
+    LEFT JOIN dim_status_ticket t ON t.sk_status_ticket = f.sk_status_ticket"""))
+def _(spark, sf):
+    """The status, which differs between the copies of a ticket, from many small micro-batches."""
+    root = fresh_path(spark, "stream")
+    wh = Warehouse(spark, f"{root}/dw")
+    landing = b.land_ticket_pages(spark, sf, f"{root}/raw")
+    stream_tickets(wh, landing, f"{root}/checkpoint", files_per_batch=4, load_ts=b.load_ts(), **b.DICTIONARIES).awaitTermination()
+    return _named(wh, wh.read("fato_ticket"), {"sk_status_ticket": "dim_status_ticket"}).select("id_ticket_origem", "nm_status_ticket")

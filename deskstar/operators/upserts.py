@@ -52,6 +52,23 @@ def upsert_by_id(
     return warehouse.read(table)
 
 
+def remove_by_id(warehouse: Warehouse, table: str, keys: DataFrame, key: str = "id_ticket_origem") -> None:
+    """Delete the rows of some keys wherever they are stored."""
+    if not warehouse.exists(table):
+        return
+    month = schemas.PARTITION[table]
+    stored = warehouse.physical(table)
+    hit = _periods(stored.select(key, month).join(keys, key, "left_semi"), month)
+    if not hit:
+        return
+    kept = stored.where(_within(month, hit)).join(keys, key, "left_anti")
+    emptied = hit - _periods(kept, month)
+    if hit - emptied:
+        warehouse.overwrite_partitions(kept, table)
+    for value in emptied:
+        warehouse.clear_partition(table, value)
+
+
 def replace_period(
     warehouse: Warehouse, table: str, batch: DataFrame, sk: str | None = None,
     grain: Sequence[str] = (), buckets: int = 4096,
