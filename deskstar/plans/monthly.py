@@ -80,7 +80,7 @@ def run_month(
     """Land, refine and load one month of tickets, then the monitoring feeds if given."""
     start, _ = month_bounds(year, month)
     anomes = start.year * 100 + start.month
-    raw = read_raw_tickets(spark, inputs.tickets, schema=PAGES, multi_line=inputs.multi_line)
+    raw = read_raw_tickets(spark, inputs.tickets, schema=PAGES, multi_line=inputs.multi_line, mode=mode, warehouse=warehouse)
     curated = refine_tickets_month(spark, lake, anomes, raw, **dictionaries)
     load_dimensions(warehouse, curated)
     load_fato_ticket(warehouse, curated, mode, load_ts)

@@ -12,6 +12,7 @@ from deskstar import schemas
 from deskstar.functions.numeric import normalise_number
 from deskstar.functions.temporal import parse_month
 from deskstar.operators.dedupe import keep_first
+from deskstar.sources.warehouse import Warehouse
 
 
 def file_order() -> Column:
@@ -26,21 +27,62 @@ def file_order() -> Column:
     )
 
 
+CORRUPT, FILE = "_corrupt_record", "_arquivo"
+REJECTS = "raw_tickets"
+
+
+def as_text(schema: T.StructType) -> T.StructType:
+    """The schema with every plain field as text, and a field for lines that do not parse."""
+    fields = [f if isinstance(f.dataType, T.StructType) else T.StructField(f.name, T.StringType()) for f in schema.fields]
+    return T.StructType([*fields, T.StructField(CORRUPT, T.StringType())])
+
+
+def checked_lines(
+    df: DataFrame, schema: T.StructType, mode: str = "strict", warehouse: Warehouse | None = None, key: str = "id"
+) -> DataFrame:
+    """Rows read ``as_text`` (and ``FILE``) with the types of ``schema``.
+
+    A line that does not parse, or a value that is not of its type, fails the job in strict mode. In quarantine it is kept
+    in ``warehouse.rejected("raw_tickets")``; its row goes on if the key is there.
+    """
+    typed = {f.name: F.col(f.name).try_cast(f.dataType) for f in schema.fields if not isinstance(f.dataType, T.StructType)}
+    faults = [F.when(F.col(CORRUPT).isNotNull(), F.lit("line"))]
+    faults += [F.when(F.col(c).isNotNull() & value.isNull(), F.lit(c)) for c, value in typed.items()]
+    reason = F.concat_ws(", ", *faults)
+    if mode != "strict":
+        if warehouse is None:
+            raise ValueError("quarantine needs a warehouse for the rejects")
+        warehouse.reject(df.where(reason != "").distinct(), REJECTS, [FILE], F.concat(F.lit("unreadable: "), reason))
+        df = df.where((reason == "") | typed[key].isNotNull())
+    else:
+        message = F.concat(F.lit("unreadable "), reason, F.lit(" in "), F.coalesce(FILE, F.lit("?")), F.lit(": "),
+                           F.left(F.coalesce(CORRUPT, F.to_json(F.struct(*typed))), F.lit(200)))
+        typed[key] = F.when(reason != "", F.raise_error(message)).otherwise(typed[key])
+    # All at once, so that each fault is judged by the texts.
+    return df.withColumns(typed).drop(CORRUPT, FILE)
+
+
 def read_raw_tickets(
     spark: SparkSession,
     path: str | Sequence[str],
     schema: T.StructType = schemas.RAW_TICKET,
     multi_line: bool = False,
     order_col: str | None = None,
+    mode: str = "strict",
+    warehouse: Warehouse | None = None,
 ) -> DataFrame:
-    """Read JSON arrays of ticket objects.
+    """Read JSON arrays of ticket objects. See ``checked_lines`` for lines that do not parse.
 
     By default each line holds one array (a landed result page) or one object, so files split
     across tasks. ``multi_line=True`` reads a pretty-printed array, one file per task.
     """
     paths = [path] if isinstance(path, str) else list(path)
-    df = spark.read.schema(schema).option("multiLine", multi_line).json(paths)
-    return df if order_col is None else df.withColumn(order_col, file_order())
+    lines = spark.read.schema(as_text(schema)).option("columnNameOfCorruptRecord", CORRUPT)
+    df = lines.option("multiLine", multi_line).json(paths).withColumn(FILE, F.col("_metadata.file_path"))
+    if order_col is None:
+        return checked_lines(df, schema, mode, warehouse)
+    order = file_order()
+    return checked_lines(df.withColumn(order_col, order), schema, mode, warehouse)
 
 
 def explode_items(df: DataFrame, items: Column, keep: Sequence[str] = ()) -> DataFrame:

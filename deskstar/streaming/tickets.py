@@ -18,7 +18,7 @@ from deskstar.plans.dimensions import load_dimensions
 from deskstar.plans.facts import load_fato_csi, load_fato_ticket
 from deskstar.plans.monthly import PAGES
 from deskstar.plans.refine import ORDER, build_curated_tickets, build_staging_tickets
-from deskstar.sources.raw import dedupe_landed_pages
+from deskstar.sources.raw import CORRUPT, FILE, as_text, checked_lines, dedupe_landed_pages
 from deskstar.sources.warehouse import Warehouse
 
 
@@ -71,12 +71,11 @@ def stream_tickets(
     **dictionaries,
 ) -> StreamingQuery:
     """Load every page file that is landed and not loaded yet, then stop."""
-    pages = (
-        warehouse.spark.readStream.schema(PAGES).option("maxFilesPerTrigger", files_per_batch).json(landing)
-    )
+    lines = warehouse.spark.readStream.schema(as_text(PAGES)).option("columnNameOfCorruptRecord", CORRUPT)
+    pages = lines.option("maxFilesPerTrigger", files_per_batch).json(landing).withColumn(FILE, F.col("_metadata.file_path"))
     return (
         pages.writeStream.option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
-        .foreachBatch(lambda df, _: load_batch(warehouse, df, mode, load_ts, **dictionaries))
+        .foreachBatch(lambda df, _: load_batch(warehouse, checked_lines(df, PAGES, mode, warehouse), mode, load_ts, **dictionaries))
         .start()
     )
