@@ -143,19 +143,21 @@ def prepared_subjects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # --- monitoring ------------------------------------------------------------------------------------
-def _server_months(spark: SparkSession, sf_dir: str, flags: tuple[str, ...]) -> DataFrame:
+def _server_months(spark: SparkSession, sf_dir: str, flags: tuple[str, ...] | None) -> DataFrame:
+    """Order lines with one of the flags; without flags, all of them."""
     shifted = F.add_months(F.to_date("l_shipdate"), 28 * 12)
-    return table(spark, sf_dir, "lineitem").where(F.col("l_returnflag").isin(*flags)).select(
+    lines = table(spark, sf_dir, "lineitem")
+    return (lines if flags is None else lines.where(F.col("l_returnflag").isin(*flags))).select(
         F.format_string("SRV-%03d", "l_suppkey").alias("INSTANCIA"),
         month_key(shifted).alias("ANOMES"),
         "l_quantity",
     )
 
 
-def sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+def sizes(spark: SparkSession, sf_dir: str, flags: tuple[str, ...] | None = ("A", "N")) -> DataFrame:
     """Size per server and month, one row each."""
     return (
-        _server_months(spark, sf_dir, ("A", "N")).groupBy("INSTANCIA", "ANOMES")
+        _server_months(spark, sf_dir, flags).groupBy("INSTANCIA", "ANOMES")
         .agg(F.sum("l_quantity").cast("decimal(14,2)").alias("TAMANHO_GB"))
     )
 

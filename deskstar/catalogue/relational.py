@@ -278,6 +278,18 @@ def _(spark, sf):
     return capacity.capacity_deltas(lower_names(b.sizes(spark, sf)))
 
 
+@query("capacity_deltas_all_lines", """WITH whole AS (SELECT printf('SRV-%03d', l_suppkey) AS instancia,
+    CAST((year(l_shipdate) + 28) * 100 + month(l_shipdate) AS INTEGER) AS anomes, (year(l_shipdate) + 28) * 12 + month(l_shipdate) AS mi,
+    CAST(sum(l_quantity) AS DECIMAL(14,2)) AS tamanho_gb FROM lineitem GROUP BY ALL)
+    SELECT a.instancia, a.anomes, a.tamanho_gb, CAST(a.tamanho_gb - (SELECT tamanho_gb FROM whole b WHERE b.instancia = a.instancia AND b.mi = a.mi - 1) AS DECIMAL(15,2)) AS delta_1_mes,
+    CAST(a.tamanho_gb - (SELECT tamanho_gb FROM whole b WHERE b.instancia = a.instancia AND b.mi = a.mi - 2) AS DECIMAL(15,2)) AS delta_2_meses,
+    CAST(a.tamanho_gb - (SELECT tamanho_gb FROM whole b WHERE b.instancia = a.instancia AND b.mi = a.mi - 3) AS DECIMAL(15,2)) AS delta_3_meses,
+    CAST(a.tamanho_gb - (SELECT tamanho_gb FROM whole b WHERE b.instancia = a.instancia AND b.mi = a.mi - 6) AS DECIMAL(15,2)) AS delta_6_meses,
+    CAST(a.tamanho_gb - (SELECT tamanho_gb FROM whole b WHERE b.instancia = a.instancia AND b.mi = a.mi - 12) AS DECIMAL(15,2)) AS delta_12_meses FROM whole a""")
+def _(spark, sf):
+    return capacity.capacity_deltas(lower_names(b.sizes(spark, sf, None)))
+
+
 @query("order_staging_desc_nulls_last", q.with_ctes(
     "SELECT instancia, anomes, tamanho_gb, disponibilidade_pct FROM srv_staging ORDER BY anomes DESC NULLS LAST, instancia"))
 def _(spark, sf):
@@ -296,6 +308,22 @@ def _(spark, sf):
     return marts.ordered_mart(mart, "c_mktsegment", "n_name")
 
 
+@query("ordered_mart_all_customers", """SELECT c_mktsegment, n_name, count(c_custkey) AS clientes
+    FROM (SELECT c_custkey, CASE WHEN c_custkey % 7 <> 0 THEN c_nationkey END AS nation, CASE WHEN c_custkey % 5 <> 0 THEN c_mktsegment END AS c_mktsegment
+          FROM customer) FULL JOIN nation ON nation = n_nationkey
+    GROUP BY 1, 2 ORDER BY 1 NULLS LAST, 2 NULLS LAST""")
+def _(spark, sf):
+    """All customers; by their number some are without nation or segment, which form the null groups."""
+    customers = b.table(spark, sf, "customer").select(
+        "c_custkey", F.when(C("c_custkey") % 7 != 0, C("c_nationkey")).alias("nation"),
+        F.when(C("c_custkey") % 5 != 0, C("c_mktsegment")).alias("c_mktsegment"))
+    counted = customers.groupBy("nation", "c_mktsegment").agg(F.count("c_custkey").alias("clientes"))
+    nations = b.table(spark, sf, "nation").select("n_nationkey", "n_name")
+    mart = nations.join(counted, C("nation") == C("n_nationkey"), "full").groupBy("c_mktsegment", "n_name").agg(
+        F.coalesce(F.sum("clientes"), F.lit(0)).alias("clientes"))
+    return marts.ordered_mart(mart, "c_mktsegment", "n_name")
+
+
 @query("top_examples", """SELECT id FROM (SELECT CAST(doc_id AS VARCHAR) AS id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels))
     ORDER BY id LIMIT 10""")
 def _(spark, sf):
