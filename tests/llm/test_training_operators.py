@@ -213,13 +213,13 @@ def test_repeats(docs, odd, none):
     assert repeats.drop_repeats(none).count() == 0
 
 
-def brute_groups(df, floor=0.01, threshold=0.8):
+def brute_groups(df, floor=0.0, threshold=0.8):
     """Smallest id of the group of each text, by the similarity of all pairs that share a shingle."""
     rows = [(r["doc_id"], r["text"]) for r in df.collect()]
     words = near_documents.WordHashes()
     texts = {t: near_documents.shingles(t, words) for _, t in rows if t is not None}
     often = Counter(k for _, t in rows if t is not None for k in texts[t][0].tolist())
-    weight = {k: 1 + np.log(1 / max(n / len(rows), floor)) for k, n in often.items()}
+    weight = {k: 1 + np.log(1 / max(n / max(len(rows), 1), floor)) for k, n in often.items()}
     weighed = {t: (k, c * np.array([weight[x] for x in k.tolist()])) for t, (k, c) in texts.items()}
     names, parent = list(weighed), {t: t for t in weighed}
 
@@ -267,10 +267,14 @@ def test_loose_copies_and_the_parity_bound(spark):
     df = spark.createDataFrame(rows, SCHEMA)
     found = near_documents.near_duplicate_groups(df).collect()
     assert Counter((r["doc_id"], r["group_id"]) for r in found) == brute_groups(df)
-    weights, words = near_documents.frequent_shingles(df, "text", 0.01), near_documents.WordHashes()
+    weights, words = near_documents.Counted(160, 0.0), near_documents.WordHashes()
+    distinct = near_documents.distinct_texts(df, "doc_id", "text")
+    signed = near_documents.signed(distinct, weights).select("number", "held_by")
+    numbered = df.join(distinct.select("number", "text").join(signed, "number").drop("number"), "text").select(
+        F.col("doc_id").alias("number"), "text", "held_by")
+    held_by = {r["number"]: bytes(r["held_by"]) for r in numbered.collect()}
     texts = [near_documents.shingles(r[1], words) for r in rows]
-    weighed = [(k, weights.of(k, n)) for k, n in texts]
-    numbered = df.select(F.col("doc_id").alias("number"), "text")
+    weighed = [(k, weights.of(k, n, held_by[i])) for i, (k, n) in enumerate(texts)]
     totals = spark.createDataFrame([(i, float(w.sum())) for i, (_, w) in enumerate(weighed)], "number long, total double")
     sketches = near_documents.parities(numbered, weights).join(totals, "number")
     pairs = sketches.alias("x").join(sketches.alias("y"), F.col("x.number") < F.col("y.number")).where(
@@ -293,12 +297,37 @@ def test_every_document_frequency_counts(spark, sf_dir, docs, odd):
     assert Counter((r["doc_id"], r["group_id"]) for r in rows) == brute_groups(docs, floor=0)
 
 
-def test_frequent_shingles_are_counted_exactly(docs):
-    weights = near_documents.frequent_shingles(docs, "text", 0.02)
-    words, n, counts = near_documents.WordHashes(), docs.count(), Counter()
+def test_document_counts_are_exact(docs):
+    distinct = near_documents.distinct_texts(docs, "doc_id", "text")
+    classes = near_documents.signed(distinct, near_documents.Counted(docs.count(), 0.0))
+    words, counts, own = near_documents.WordHashes(), Counter(), {}
     for r in docs.collect():
-        counts.update(near_documents.shingles(r["text"], words)[0].tolist())
-    assert set(weights.keys.tolist()) == {k for k, c in counts.items() if c > 0.02 * n}
+        own[r["doc_id"]] = near_documents.shingles(r["text"], words)[0]
+        counts.update(own[r["doc_id"]].tolist())
+    for r in classes.collect():
+        assert np.frombuffer(r["held_by"], "<i8").tolist() == [counts[k] for k in own[r["id"]].tolist()]
+
+
+def test_kept_and_texts_without_a_word(spark, sf_dir):
+    """Wordless texts in a chunk of their own or among others, and null texts, which are kept."""
+    words = "a b c d e f g"
+    for texts, kept in ((["", "..."], [True, True]), ([words, None, words, ""], [True, True, False, True]),
+                        ([None, None], [True, True]), (["...", "..."], [True, False])):
+        df = spark.createDataFrame([(i, t, "en", "a", 1, "s", 2, 3) for i, t in enumerate(texts)], SCHEMA)
+        for floor in (0.0, 0.01):
+            rows = near_documents.near_duplicate_groups(df, floor=floor).orderBy("doc_id").collect()
+            assert [r["kept"] for r in rows] == kept
+            assert near_documents.without_near_duplicates(df, floor=floor).count() == sum(kept)
+
+
+def test_pipeline_over_one_shared_line(spark, docs, tmp_path):
+    """Documents that lose all their lines go on as empty texts, of which one stays."""
+    line = "the same line of this and that in all of them and with the others"
+    rows = docs.where("lang = 'en'").limit(40).unionByName(spark.createDataFrame(
+        [(10**6 + k, line, "en", "src0", len(line)) for k in range(12)], docs.schema))
+    rows.write.parquet(f"{tmp_path}/documents.parquet")
+    found = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert sum(r["doc_id"] >= 10**6 and r["n_pieces"] > 0 for r in found) == 0
 
 
 @pytest.fixture(scope="module")
