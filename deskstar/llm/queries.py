@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from deskstar.llm import collisions, language, line_dedup, mixing, near_documents, neighbours, pieces, repeats, revisits, sharding
+from deskstar.llm import collisions, language, line_dedup, mixing, near_documents, neighbours, periods, pieces, repeats, revisits, sharding
 from deskstar.llm.common import bytes_length, documents, embeddings
 from deskstar.session import prepare
 
@@ -155,6 +155,25 @@ def suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         cut["n_spans"].alias("n_spans"), F.sha2(cut["kept"], 256).alias("kept_sha256"))
 
 
+@query("op13_periodic_runs")
+def periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    found = periods.periodic_runs(docs.select("doc_id", periods.looped(F.col("text"), F.col("doc_id")).alias("text")))
+    runs = F.col("periodic")["runs"]
+    top = F.array_max(F.transform(runs, lambda r: F.struct(
+        r["length"].alias("length"), (-r["start"]).alias("back"), (-r["period"]).alias("least"))))
+    lines = F.transform(runs, lambda r: F.concat_ws(",", *[r[k].cast("string") for k in ("start", "length", "period")]))
+    rows = found.select("doc_id", F.size(runs).cast("long").alias("n_runs"), top.alias("top"),
+                        F.concat(F.array_join(lines, "\n"), F.when(F.size(runs) > 0, "\n").otherwise("")).alias("lines"),
+                        F.col("periodic")["text"].alias("text"))
+    top = F.col("top")
+    return rows.select(
+        "doc_id", "n_runs", (-top["back"]).alias("start"), top["length"].alias("length"), (-top["least"]).alias("period"),
+        F.floor(top["length"] * 1000 / -top["least"]).alias("exponent_milli"),
+        F.sha2(F.col("lines").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("text").cast("binary"), 256).alias("collapsed_sha256"))
+
+
 REVISITS_SQL = r"""
 WITH parts AS (
     SELECT page_id AS n, k, page_id * 3 + k AS id, url, html, regexp_extract(url, '^([a-z]+)://', 1) AS scheme,
