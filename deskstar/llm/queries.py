@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from deskstar.llm import collisions, language, line_dedup, mixing, near_documents, neighbours, periods, pieces, repeats, revisits, sharding
+from deskstar.llm import collisions, language, line_dedup, mixing, near_documents, neighbours, periods, pieces, repeats, revisits, sharding, toxicity
 from deskstar.llm.common import bytes_length, documents, embeddings
 from deskstar.session import prepare
 
@@ -155,6 +155,15 @@ def suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         cut["n_spans"].alias("n_spans"), F.sha2(cut["kept"], 256).alias("kept_sha256"))
 
 
+@query("op11_toxicity")
+def toxicity_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = toxicity.learn(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    found = docs.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"),
+                        toxicity.scored(F.col("text"), model)["score"].alias("score"))
+    return found.withColumn("predicted", F.when(F.col("score") >= 0.7, 1).otherwise(0))
+
+
 @query("op13_periodic_runs")
 def periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
