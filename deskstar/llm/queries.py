@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from deskstar.llm import collisions, language, line_dedup, mixing, near_documents, neighbours, periods, pieces, repeats, revisits, sharding, toxicity
+from deskstar.llm import collisions, divergence, language, line_dedup, mixing, near_documents, neighbours, periods, pieces, repeats, revisits, sharding, toxicity
 from deskstar.llm.common import bytes_length, documents, embeddings
 from deskstar.session import prepare
 
@@ -164,6 +164,50 @@ def toxicity_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("predicted", F.when(F.col("score") >= 0.7, 1).otherwise(0))
 
 
+DIVERGENCE_SQL = r"""
+WITH docs AS (
+    SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text
+    FROM documents),
+said AS (
+    SELECT r, lang, source, translate(unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')),
+                                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term
+    FROM docs),
+kept AS (SELECT lang, term FROM said GROUP BY lang, term HAVING count(DISTINCT r) >= 10),
+spoken AS (SELECT DISTINCT lang, source FROM docs),
+counted AS (
+    SELECT g.lang, g.source, k.term, count(s.r) AS c
+    FROM spoken g JOIN kept k ON g.lang = k.lang LEFT JOIN said s ON s.lang = g.lang AND s.source = g.source AND s.term = k.term
+    GROUP BY g.lang, g.source, k.term),
+shared AS (
+    SELECT *, 1 + 1000000000::HUGEINT * (c + 2)
+                  // (sum(c) OVER (PARTITION BY lang, source) + 2 * count(*) OVER (PARTITION BY lang, source)) AS p
+    FROM counted),
+whole AS (
+    SELECT lang, term, 1 + 1000000000::HUGEINT * (sum(c) + 2)
+                           // (sum(sum(c)) OVER (PARTITION BY lang) + 2 * count(*) OVER (PARTITION BY lang)) AS q
+    FROM counted GROUP BY lang, term),
+sums AS (
+    SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+    FROM shared a JOIN shared b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+    GROUP BY a.lang, a.source, b.source),
+found AS (
+    SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+    FROM spoken a JOIN spoken b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN sums s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+    UNION ALL
+    SELECT lang, source, 'term', term, (p - q) * (p - q) // (p + q)
+    FROM shared JOIN whole USING (lang, term) WHERE c > 0 AND p > q),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM found)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
+FROM ranked WHERE part = 'pair' OR rank <= 10
+"""
+
+
+@query("op12_source_divergence", DIVERGENCE_SQL)
+def source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergences(documents(spark, sf_dir))
+
+
 @query("op13_periodic_runs")
 def periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
