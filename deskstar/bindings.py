@@ -241,6 +241,15 @@ def bridge(warehouse: Warehouse) -> DataFrame:
     )
 
 
+def load_star(warehouse: Warehouse, curated: DataFrame, servers: DataFrame) -> None:
+    """Dimensions, the three facts and the bridge."""
+    load_dimensions(warehouse, curated)
+    load_fato_ticket(warehouse, curated, "quarantine", load_ts())
+    load_fato_csi(warehouse, curated, "quarantine", load_ts())
+    load_fato_servidor(warehouse, servers, SOURCE, "strict", load_ts())
+    warehouse.append(bridge(warehouse), "map_servidor_instancia")
+
+
 class Star:
     """Lake and warehouse built once per application and data folder."""
 
@@ -252,12 +261,7 @@ class Star:
         self.staging = spark.read.parquet(layer_path(self.lake, "staging", "tickets"))
         write_layer(build_curated_tickets(self.staging, **DICTIONARIES), self.lake, "curated", "tickets")
         self.curated = spark.read.parquet(layer_path(self.lake, "curated", "tickets"))
-        load_dimensions(self.warehouse, self.curated)
-        load_fato_ticket(self.warehouse, self.curated, "quarantine", load_ts())
-        load_fato_csi(self.warehouse, self.curated, "quarantine", load_ts())
-        servers = staging_servers(spark, sf_dir)
-        load_fato_servidor(self.warehouse, servers, SOURCE, "strict", load_ts())
-        self.warehouse.append(bridge(self.warehouse), "map_servidor_instancia")
+        load_star(self.warehouse, self.curated, staging_servers(spark, sf_dir))
 
 
 _stars: dict[tuple[str, str], Star] = {}

@@ -167,9 +167,11 @@ def _(spark, sf):
 @query("create_star", q.with_ctes(" UNION ALL ".join(
     f"SELECT '{t}' AS tabela, count(*) AS linhas FROM {t}" for t in schemas.STAR_TABLES)))
 def _(spark, sf):
-    wh = b.star(spark, sf).warehouse
+    """Declared empty, then loaded: the declared tables show the rows."""
+    root = fresh_path(spark, "dw")
     warehouse.drop_star(spark, "dw")
-    warehouse.create_star(spark, wh.root, "dw")
+    warehouse.create_star(spark, root, "dw")
+    b.load_star(warehouse.Warehouse(spark, root), b.star(spark, sf).curated, b.staging_servers(spark, sf))
     return spark.sql(" UNION ALL ".join(
         f"SELECT '{t}' AS tabela, count(*) AS linhas FROM dw.{t}" for t in schemas.STAR_TABLES))
 

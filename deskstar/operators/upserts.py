@@ -23,62 +23,63 @@ def _within(name: str, periods: set[int | None]) -> Column:
     return F.col(name).isNull() | inside if None in periods else F.col(name).isNotNull() & inside
 
 
+def _keyed(batch: DataFrame, known: DataFrame, grain: Sequence[str], sk: str, start: Column, buckets: int) -> DataFrame:
+    """The batch with surrogate keys: rows stored before keep theirs, so a load that runs again gives the same keys."""
+    kept = known.groupBy(*grain).agg(F.min(sk).alias(sk))
+    old = batch.drop(sk).join(kept, list(grain)).select(*batch.columns)
+    new = batch.drop(sk).join(kept, list(grain), "left_anti")
+    return old.unionByName(assign_surrogate_keys(new, grain, sk, start, buckets).select(*batch.columns))
+
+
 def upsert_by_id(
     warehouse: Warehouse, table: str, batch: DataFrame, key: str = "id_ticket_origem",
     sk: str | None = None, buckets: int = 4096,
 ) -> DataFrame:
     """Delete the keys of the batch wherever they are stored, then insert the batch.
 
-    Only the months that hold one of those keys, or receive a new row, are rewritten. A dynamic
-    overwrite moves the new partitions in after all tasks have finished, so it may read the
-    partitions it replaces; running it again after a failure gives the same table.
+    Only the months that hold one of those keys, or receive a new row, are written anew; all of them switch to their new
+    files once these are complete. A load that dies before leaves the table as it was. Running a load again gives the
+    same table, surrogate keys included.
     """
     month = schemas.PARTITION[table]
     stored = warehouse.physical(table)
     fresh = warehouse.stage(warehouse.shape(batch, table), f"{table}-batch")
-    keyed = fresh if sk is None else assign_surrogate_keys(
-        fresh.drop(sk), key, sk, next_key(stored, sk), buckets).select(*fresh.columns)
-    if not warehouse.exists(table):
-        warehouse.overwrite_partitions(keyed, table)
-        return warehouse.read(table)
     keys = fresh.select(key).distinct()
-    hit = _periods(stored.select(key, month).join(keys, key, "left_semi"), month)
+    held = [key, month] if sk is None else [key, month, sk]
+    found = warehouse.stage(stored.select(*held).join(keys, key, "left_semi"), f"{table}-found")
+    keyed = fresh if sk is None else _keyed(fresh, found, [key], sk, next_key(stored, sk), buckets)
+    hit = _periods(found, month)
     incoming = _periods(fresh, month)
     kept = stored.where(_within(month, hit | incoming)).join(keys, key, "left_anti")
-    emptied = hit - incoming - _periods(kept, month) if hit - incoming else set()
-    warehouse.overwrite_partitions(kept.unionByName(keyed), table)
-    for value in emptied:
-        warehouse.clear_partition(table, value)
+    # A month that only loses rows may lose them all; it is switched to its new files all the same.
+    warehouse.overwrite_partitions(kept.unionByName(keyed), table, emptied=sorted(hit - incoming, key=str))
     return warehouse.read(table)
 
 
 def remove_by_id(warehouse: Warehouse, table: str, keys: DataFrame, key: str = "id_ticket_origem") -> None:
     """Delete the rows of some keys wherever they are stored."""
-    if not warehouse.exists(table):
-        return
     month = schemas.PARTITION[table]
     stored = warehouse.physical(table)
     hit = _periods(stored.select(key, month).join(keys, key, "left_semi"), month)
-    if not hit:
-        return
-    kept = stored.where(_within(month, hit)).join(keys, key, "left_anti")
-    emptied = hit - _periods(kept, month)
-    if hit - emptied:
-        warehouse.overwrite_partitions(kept, table)
-    for value in emptied:
-        warehouse.clear_partition(table, value)
+    if hit:
+        kept = stored.where(_within(month, hit)).join(keys, key, "left_anti")
+        warehouse.overwrite_partitions(kept, table, emptied=sorted(hit, key=str))
 
 
 def replace_period(
     warehouse: Warehouse, table: str, batch: DataFrame, sk: str | None = None,
     grain: Sequence[str] = (), buckets: int = 4096,
 ) -> DataFrame:
-    """Replace every period present in the batch as a whole: rows missing from it disappear."""
+    """Replace every period present in the batch as a whole: rows missing from it disappear.
+
+    Rows of a grain that the period held before keep their surrogate key.
+    """
     fresh = warehouse.shape(batch, table)
     if sk is not None:
-        start = next_key(warehouse.read(table), sk)
-        stored = warehouse.stage(fresh, table)
-        fresh = assign_surrogate_keys(stored.drop(sk), grain, sk, start, buckets).select(*stored.columns)
+        fresh = warehouse.stage(fresh, table)
+        stored, month = warehouse.physical(table), schemas.PARTITION[table]
+        known = stored.where(_within(month, _periods(fresh, month))).select(*grain, sk)
+        fresh = _keyed(fresh, known, grain, sk, next_key(stored, sk), buckets)
     warehouse.overwrite_partitions(fresh, table)
     return warehouse.read(table)
 
@@ -91,11 +92,7 @@ def replace_month_by_date(warehouse: Warehouse, table: str, batch: DataFrame, an
     month = schemas.PARTITION[table]
     staged = warehouse.stage(warehouse.shape(batch, table), table)
     inside = staged.where(F.col(month) == anomes)
-    if inside.isEmpty():
-        if warehouse.exists(table):
-            warehouse.clear_partition(table, anomes)
-    else:
-        warehouse.overwrite_partitions(inside, table)
+    warehouse.overwrite_partitions(inside, table, emptied=[anomes])
     outside = staged.where(~F.col(month).eqNullSafe(anomes))
     if not outside.isEmpty():
         warehouse.append(outside, table)

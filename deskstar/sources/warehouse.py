@@ -1,7 +1,19 @@
-"""Warehouse tables: Parquet folders below one root, with declared schemas."""
+"""Warehouse tables: external Parquet tables of the catalogue, stored in folders below one root.
+
+Every load writes new folders and switches to them afterwards: the months of a partitioned table, or the whole of another,
+get the new folder as their location. Readers go through the catalogue, so they see the old rows until the switch and never
+a folder that is being written. A load that dies before its switch leaves the table as it was.
+
+What the catalogue was switched to is also appended to ``trocas/<table>``, all months of a load in one small file, so that a
+catalogue that forgets its tables at the end of a session, or one whose switches broke off, can be set up from the folder.
+Folders that no table points to any more can be expired once no reader is left on them.
+"""
 
 from __future__ import annotations
 
+import hashlib
+import time
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -24,34 +36,116 @@ def partition_value(table: str) -> Column:
     return F.col(schemas.PARTITION[table])
 
 
+NO_MONTH = "__HIVE_DEFAULT_PARTITION__"
+WHOLE = ""  # the place of a table without partitions
+SWITCHES = "particao string, local string, carga string"
+
+
+def own_schema(root: str) -> str:
+    return "deskstar_" + hashlib.md5(root.encode()).hexdigest()[:12]
+
+
 class Warehouse:
-    """The star and the flat tables stored below ``root``."""
+    """The star and the flat tables stored below ``root`` and declared in ``schema`` of the catalogue.
+
+    Without a schema it is the one that ``create_star`` declared over this root in the session, else one named after the root.
+    """
 
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, schema: str | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
+        self._schema = schema
+
+    @property
+    def schema(self) -> str:
+        if self._schema:
+            return self._schema
+        own = own_schema(self.root)
+        declared = self.spark.conf.get(f"deskstar.schema.{own}", own)
+        return declared if self.spark.conf.get(f"deskstar.root.{declared}", None) == self.root else own
 
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
 
-    def exists(self, table: str) -> bool:
+    def name(self, table: str) -> str:
+        """Name of the table in the catalogue, which is set up from the folder where it does not know the table."""
+        name = f"{self.schema}.{table}"
+        if not self.spark.catalog.tableExists(name):
+            self.declare(table)
+        return name
+
+    def declare(self, table: str) -> None:
+        """Create the table in the catalogue, types and comments included, over the folders it was last switched to."""
+        self.spark.sql(f"CREATE SCHEMA IF NOT EXISTS {self.schema} LOCATION '{self.root}/catalogo'")
+        columns = ", ".join(_declared(field) for field in schemas.TABLE[table].fields)
+        clause, month = "", schemas.PARTITION.get(table)
+        if month:
+            if month not in schemas.TABLE[table].names:
+                columns += f", {month} INT COMMENT 'physical partition'"
+            clause = f" PARTITIONED BY ({month})"
+        self.spark.sql(f"CREATE TABLE IF NOT EXISTS {self.schema}.{table} ({columns}) USING parquet{clause} "
+                       f"LOCATION '{self.path(table)}/vazia'")
+        details = {row[0]: row[1] for row in self.spark.sql(f"DESCRIBE FORMATTED {self.schema}.{table}").collect()}
+        if f"{self.path(table)}/".removeprefix("file:") not in details["Location"]:
+            raise ValueError(f"{self.schema}.{table} is declared over {details['Location']}, not below {self.root}")
+        self.repair(table)
+
+    def switched(self, table: str) -> dict[str, str]:
+        """The folder of each partition by the record of switches."""
+        stored = self._parquet(f"{self.root}/trocas/{table}", SWITCHES)
+        if stored is None:
+            return {}
+        last = stored.groupBy("particao").agg(F.max_by("local", "carga").alias("local"))
+        return {row["particao"]: row["local"] for row in last.collect()}
+
+    def repair(self, table: str) -> None:
+        """Bring the catalogue to the last recorded switches, for instance after some of them broke off."""
+        self._switch(table, self.switched(table))
+
+    def _switch(self, table: str, folders: dict[str, str]) -> None:
+        """Point partitions, or the whole table, at their new folders."""
+        name, month = f"{self.schema}.{table}", schemas.PARTITION.get(table)
+        if WHOLE in folders:
+            self.spark.sql(f"ALTER TABLE {name} SET LOCATION '{folders[WHOLE]}'")
+        elif folders:
+            def spec(value: str) -> str:
+                return f"PARTITION ({month}={'NULL' if value == NO_MONTH else value})"
+
+            known = {row[0].split("=", 1)[1] for row in self.spark.sql(f"SHOW PARTITIONS {name}").collect()}
+            known = {NO_MONTH if value in ("null", NO_MONTH) else value for value in known}
+            added = " ".join(f"{spec(v)} LOCATION '{folder}'" for v, folder in folders.items() if v not in known)
+            if added:
+                self.spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {added}")
+            for value in folders.keys() & known:
+                self.spark.sql(f"ALTER TABLE {name} {spec(value)} SET LOCATION '{folders[value]}'")
+        self.spark.catalog.refreshTable(name)
+
+    def _publish(self, table: str, load: str, folders: dict[str, str]) -> None:
+        """Record the folders of a finished load in one file, then switch to them."""
+        if folders:
+            rows = [(value, folder, load) for value, folder in folders.items()]
+            self.spark.createDataFrame(rows, SWITCHES).coalesce(1).write.mode("append").parquet(f"{self.root}/trocas/{table}")
+            self._switch(table, folders)
+
+    def _parquet(self, path: str, schema: str | T.StructType) -> DataFrame | None:
+        """The files of a folder, or None where there is no such folder."""
         try:
-            self.spark.read.schema(schemas.TABLE[table]).parquet(self.path(table))
+            return self.spark.read.schema(schema).parquet(path)
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return False
-        return True
+            return None
+
+    def exists(self, table: str) -> bool:
+        """Whether any load has written the table."""
+        name = self.name(table)
+        if schemas.PARTITION.get(table):
+            return bool(self.spark.sql(f"SHOW PARTITIONS {name}").take(1))
+        return bool(self.spark.table(name).inputFiles())
 
     def physical(self, table: str) -> DataFrame:
-        """The stored rows with the technical partition column, or an empty frame."""
-        declared = schemas.TABLE[table]
-        name = schemas.PARTITION.get(table)
-        if name and name not in declared.names:
-            declared = T.StructType([*declared.fields, T.StructField(name, T.IntegerType())])
-        if not self.exists(table):
-            return self.spark.createDataFrame([], declared)
-        return self.spark.read.schema(declared).parquet(self.path(table))
+        """The stored rows with the technical partition column, if any."""
+        return self.spark.table(self.name(table))
 
     def read(self, table: str) -> DataFrame:
         return self.physical(table).select(*schemas.TABLE[table].names)
@@ -85,24 +179,58 @@ class Warehouse:
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
-    def append(self, df: DataFrame, table: str) -> None:
-        self._writer(self.shape(df, table), table).mode("append").parquet(self.path(table))
+    def _load(self) -> str:
+        """A name that no other load has; later loads have greater ones."""
+        return f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
 
-    def overwrite_partitions(self, df: DataFrame, table: str) -> None:
-        """Replace the partitions present in ``df`` when all its tasks are done."""
-        (
-            self._writer(df, table).mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic").parquet(self.path(table))
-        )
+    def append(self, df: DataFrame, table: str) -> None:
+        """Add rows. Months that get some are written anew with their old rows."""
+        fresh, month = self.shape(df, table), schemas.PARTITION.get(table)
+        name = self.name(table)
+        if month is None:
+            if not self.exists(table):
+                self._whole(fresh, table)
+            else:
+                fresh.write.insertInto(name)
+            return
+        fresh = self.stage(fresh, table)
+        touched = F.broadcast(fresh.select(month).distinct())  # months: calendar periods
+        old = self.physical(table)
+        old = old.join(touched, old[month].eqNullSafe(touched[month]), "left_semi")
+        self.overwrite_partitions(old.select(*fresh.columns).unionByName(fresh), table)
+
+    def _whole(self, df: DataFrame, table: str) -> None:
+        self.name(table)
+        load = self._load()
+        folder = f"{self.path(table)}/{load}"
+        df.write.parquet(folder)
+        self._publish(table, load, {WHOLE: folder})
+
+    def overwrite_partitions(self, df: DataFrame, table: str, emptied: Sequence[int | None] = ()) -> None:
+        """Replace the partitions present in ``df``, and those of ``emptied`` by nothing, in one switch.
+
+        ``df`` may read the partitions it replaces, since their files stay.
+        """
+        self.name(table)
+        load, month = self._load(), schemas.PARTITION[table]
+        folder = f"{self.path(table)}/{load}"
+        shaped = self.shape(df, table) if month not in df.columns else df
+        self._writer(shaped, table).parquet(folder)
+        # The months come from the names of the written files.
+        rest = T.StructType([f for f in shaped.schema if f.name != month])
+        files = self.spark.read.schema(rest).option("basePath", folder).parquet(folder).inputFiles()
+        written = {part.split("=", 1)[1] for file in files for part in file.split("/") if part.startswith(f"{month}=")}
+        folders = {value: f"{folder}/{month}={value}" for value in written}
+        for value in (NO_MONTH if v is None else str(v) for v in emptied):
+            if value not in folders:
+                folders[value] = f"{folder}/vazia"
+        self._publish(table, load, folders)
 
     def clear_partition(self, table: str, value: int | None) -> None:
         """Leave a partition without rows."""
-        stored = self.physical(table)
-        name = schemas.PARTITION[table]
-        empty = self.spark.createDataFrame([], T.StructType([f for f in stored.schema if f.name != name]))
-        folder = "__HIVE_DEFAULT_PARTITION__" if value is None else value
-        empty.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(
-            f"{self.path(table)}/{name}={folder}")
+        load = self._load()
+        self.name(table)
+        self._publish(table, load, {NO_MONTH if value is None else str(value): f"{self.path(table)}/{load}/vazia"})
 
     def rejects_path(self, table: str) -> str:
         return f"{self.root}/rejeitados/{table}"
@@ -117,18 +245,14 @@ class Warehouse:
     def rejected(self, table: str) -> DataFrame:
         """The rows that loads of a table did not take; a row rejected again shows its last load only."""
         schema = "chave string, motivo string, linha string, data_carga timestamp"
-        try:
-            stored = self.spark.read.schema(schema).parquet(self.rejects_path(table))
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
+        stored = self._parquet(self.rejects_path(table), schema)
+        if stored is None:
             return self.spark.createDataFrame([], schema)
         return stored.groupBy("chave", "motivo", "linha").agg(F.max("data_carga").alias("data_carga"))
 
     def replace(self, df: DataFrame, table: str) -> None:
-        """Rewrite a whole unpartitioned table; the new rows are staged first."""
-        staged = self.stage(self.shape(df, table), table)
-        staged.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(self.path(table))
+        """Rewrite a whole unpartitioned table, which ``df`` may read: the old files stay."""
+        self._whole(self.shape(df, table), table)
 
     def read_dimension(self, table: str, casefold: bool = False) -> DataFrame:
         """Surrogate and natural key only; text keys trimmed, lower-cased on request."""
@@ -163,26 +287,22 @@ def _declared(field: T.StructField) -> str:
     return f"{field.name} {field.dataType.simpleString()}" + (f" COMMENT '{comment}'" if comment else "")
 
 
-def create_star(spark: SparkSession, root: str, schema: str = "dw", tables=schemas.STAR_TABLES) -> None:
-    """Declare the schema and its tables over the warehouse folders, types and comments included."""
-    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema}")
+def create_star(spark: SparkSession, root: str, schema: str = "dw", tables=schemas.STAR_TABLES) -> Warehouse:
+    """Declare the schema and its tables over a warehouse, before or after loads.
+
+    From then on warehouses over this root load and read these tables, so later loads show at once.
+    """
+    root = root.rstrip("/")
+    spark.conf.set(f"deskstar.schema.{own_schema(root)}", schema)
+    spark.conf.set(f"deskstar.root.{schema}", root)
+    warehouse = Warehouse(spark, root, schema)
     for table in tables:
-        columns = ", ".join(_declared(field) for field in schemas.TABLE[table].fields)
-        clause = ""
-        name = schemas.PARTITION.get(table)
-        if name:
-            if name not in schemas.TABLE[table].names:
-                columns += f", {name} INT COMMENT 'physical partition'"
-            clause = f" PARTITIONED BY ({name})"
-        spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {schema}.{table} ({columns}) USING parquet{clause} "
-            f"LOCATION '{root}/{table}'"
-        )
-        if name and Warehouse(spark, root).exists(table):
-            spark.sql(f"MSCK REPAIR TABLE {schema}.{table}")
+        warehouse.declare(table)
+    return warehouse
 
 
 def drop_star(spark: SparkSession, schema: str = "dw") -> None:
     """Drop facts, then dimensions; other tables of the schema and all files stay."""
     for table in reversed(schemas.STAR_TABLES):
         spark.sql(f"DROP TABLE IF EXISTS {schema}.{table}")
+    spark.conf.unset(f"deskstar.root.{schema}")
