@@ -7,7 +7,7 @@ are and as ``*_fixed``.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from deskstar.functions.numeric import case_buckets, exact_mean
@@ -35,6 +35,19 @@ def _wide(c: Column) -> Column:
 
 
 # --- detail marts ------------------------------------------------------------------------------------
+def _dated(warehouse: Warehouse, table: str, cols: list[str]) -> DataFrame:
+    """A ticket fact with its day; the month joins the fact's partitions, so a filter on it prunes them."""
+    days = warehouse.read("dim_tempo").select(F.col("sk_tempo").alias("_key"), F.col("anomes").alias("_month"), *cols)
+    on = [("sk_tempo_criacao", "_key"), ("mes_criacao", "_month")]
+    return left_lookup(warehouse.physical(table), days, on, ["id_ticket_origem"])
+
+
+def _server_months(warehouse: Warehouse) -> DataFrame:
+    """The server fact with its month, an expression of the partition column, so a filter on it prunes partitions."""
+    month = F.expr("CAST(sk_tempo_referencia DIV 100 AS INT)")
+    return warehouse.read("fato_servidor").withColumn("anomes", month)
+
+
 def _lookup(warehouse: Warehouse, fact: DataFrame, table: str, on: tuple[str, str], cols: list[str]) -> DataFrame:
     dim = warehouse.read(table).select(F.col(on[1]).alias("_key"), *cols)
     return left_lookup(fact, dim, [(on[0], "_key")], ["id_ticket_origem"])
@@ -42,8 +55,7 @@ def _lookup(warehouse: Warehouse, fact: DataFrame, table: str, on: tuple[str, st
 
 def star_detail_left(warehouse: Warehouse) -> DataFrame:
     """Technical mart: one row per ticket with its five dimensions."""
-    df = warehouse.read("fato_ticket")
-    df = _lookup(warehouse, df, "dim_tempo", ("sk_tempo_criacao", "sk_tempo"), ["anomes", "data_completa"])
+    df = _dated(warehouse, "fato_ticket", ["anomes", "data_completa"])
     df = _lookup(warehouse, df, "dim_cliente", ("sk_cliente", "sk_cliente"), ["nm_cliente"])
     df = _lookup(warehouse, df, "dim_tipo_ticket", ("sk_tipo_ticket", "sk_tipo_ticket"), ["nm_tipo_ticket"])
     df = _lookup(warehouse, df, "dim_status_ticket", ("sk_status_ticket", "sk_status_ticket"), ["nm_status_ticket"])
@@ -57,8 +69,7 @@ def star_detail_left(warehouse: Warehouse) -> DataFrame:
 
 def star_detail_csi(warehouse: Warehouse) -> DataFrame:
     """Improvement mart: one row per improvement ticket."""
-    df = warehouse.read("fato_csi")
-    df = _lookup(warehouse, df, "dim_tempo", ("sk_tempo_criacao", "sk_tempo"), ["anomes"])
+    df = _dated(warehouse, "fato_csi", ["anomes"])
     df = _lookup(warehouse, df, "dim_cliente", ("sk_cliente", "sk_cliente"), ["nm_cliente"])
     server = ["nk_servidor", "instancia", "nome_servidor"]
     df = _lookup(warehouse, df, "dim_servidor", ("sk_servidor", "sk_servidor"), server)
@@ -77,8 +88,8 @@ def star_detail_inner(warehouse: Warehouse, ordered: bool = True) -> DataFrame:
     metrics = ["tamanho_gb", "delta_1_mes", "delta_3_meses", "delta_6_meses", "delta_12_meses",
                "disponibilidade_pct", "minutos_indisponiveis"]
     joined = (
-        warehouse.read("fato_servidor")
-        .join(_sized(months), "sk_tempo_referencia")
+        _server_months(warehouse)
+        .join(_sized(months), ["sk_tempo_referencia", "anomes"])
         .join(_sized(servers), "sk_servidor")
         .select("anomes", *attributes, *metrics)
     )
@@ -93,8 +104,7 @@ TICKET_SERVER = ["nk_servidor", "instancia", "host_name", "sgdb", "ambiente"]
 
 def _ticket_with_host(warehouse: Warehouse) -> DataFrame:
     """Tickets with dimensions and, through the bridge, the key of the physical server."""
-    df = warehouse.read("fato_ticket")
-    df = _lookup(warehouse, df, "dim_tempo", ("sk_tempo_criacao", "sk_tempo"), ["anomes", "data_completa"])
+    df = _dated(warehouse, "fato_ticket", ["anomes", "data_completa"])
     df = _lookup(warehouse, df, "dim_cliente", ("sk_cliente", "sk_cliente"), ["nm_cliente"])
     df = _lookup(warehouse, df, "dim_tipo_ticket", ("sk_tipo_ticket", "sk_tipo_ticket"), ["nm_tipo_ticket"])
     df = _lookup(warehouse, df, "dim_status_ticket", ("sk_status_ticket", "sk_status_ticket"), ["nm_status_ticket"])
@@ -129,11 +139,11 @@ def bridge_join(warehouse: Warehouse) -> DataFrame:
 
 def bridge_join_fixed(warehouse: Warehouse) -> DataFrame:
     """Full technical mart with the metrics of the ticket's own month only."""
-    months = warehouse.read("dim_tempo").select("sk_tempo", F.col("anomes").alias("_m"))
+    months = warehouse.read("dim_tempo").select(F.col("sk_tempo").alias("sk_tempo_referencia"), "anomes")
     metrics = (
-        warehouse.read("fato_servidor")
-        .join(_sized(months), F.col("sk_tempo_referencia") == F.col("sk_tempo"))
-        .select(F.col("sk_servidor").alias("_sk"), "_m", *METRICS)
+        _server_months(warehouse)
+        .join(_sized(months), ["sk_tempo_referencia", "anomes"])
+        .select(F.col("sk_servidor").alias("_sk"), F.col("anomes").alias("_m"), *METRICS)
     )
     on = [("_sk_host", "_sk"), ("anomes", "_m")]
     return _full_technical(left_lookup(_ticket_with_host(warehouse), metrics, on, ["id_ticket_origem"]))
@@ -145,18 +155,19 @@ def ticket_indicators(warehouse: Warehouse, ordered: bool = True) -> DataFrame:
 
     The fact is folded to its own keys first, so only group rows meet the dimensions.
     """
-    keys = ["sk_tempo_criacao", "sk_cliente", "sk_tipo_ticket", "sk_status_ticket"]
+    keys = ["sk_tempo_criacao", "mes_criacao", "sk_cliente", "sk_tipo_ticket", "sk_status_ticket"]
     folded = (
-        warehouse.read("fato_ticket").groupBy(*keys).agg(
+        warehouse.physical("fato_ticket").groupBy(*keys).agg(
             F.count(F.lit(1)).alias("n"),
             _total("foi_atuado").alias("acted"),
             _total("tempo_resolucao_horas").alias("hours"),
             F.count("tempo_resolucao_horas").alias("timed"),
         )
     )
-    months = warehouse.read("dim_tempo").select(F.col("sk_tempo").alias("sk_tempo_criacao"), "anomes")
+    months = warehouse.read("dim_tempo").select(
+        F.col("sk_tempo").alias("sk_tempo_criacao"), F.col("anomes").alias("mes_criacao"), "anomes")
     named = (
-        folded.join(_sized(months), "sk_tempo_criacao")
+        folded.join(_sized(months), ["sk_tempo_criacao", "mes_criacao"])
         .join(_sized(warehouse.read("dim_cliente").select("sk_cliente", "nm_cliente")), "sk_cliente")
         .join(_sized(warehouse.read("dim_tipo_ticket")), "sk_tipo_ticket")
         .join(_sized(warehouse.read("dim_status_ticket")), "sk_status_ticket", "left")
@@ -172,10 +183,10 @@ def ticket_indicators(warehouse: Warehouse, ordered: bool = True) -> DataFrame:
 
 
 def _ticket_days(warehouse: Warehouse) -> DataFrame:
-    """Tickets folded to (day, customer). A ticket id is unique, so rows are distinct tickets."""
+    """Tickets folded to (day, customer), with the month. A ticket id is unique, so rows are distinct tickets."""
     folded = (
-        warehouse.read("fato_ticket")
-        .groupBy("sk_tempo_criacao", "sk_cliente", "sk_tipo_ticket")
+        warehouse.physical("fato_ticket")
+        .groupBy("sk_tempo_criacao", "mes_criacao", "sk_cliente", "sk_tipo_ticket")
         .agg(
             F.count(F.lit(1)).alias("n"),
             _total("foi_atuado").alias("acted"),
@@ -190,7 +201,8 @@ def _ticket_days(warehouse: Warehouse) -> DataFrame:
     def of_type(label: str, name: str) -> Column:
         return F.sum(F.when(F.col("nm_tipo_ticket") == label, F.col("n")).otherwise(0)).alias(name)
 
-    return named.groupBy(F.col("sk_tempo_criacao").alias("sk_tempo"), "nm_cliente").agg(
+    day = [F.col("sk_tempo_criacao").alias("sk_tempo"), F.col("mes_criacao").alias("anomes")]
+    return named.groupBy(*day, "nm_cliente").agg(
         _total("n").alias("n"),
         of_type("Checklist", "checklists"),
         of_type("CSI", "csi"),
@@ -202,7 +214,7 @@ def _ticket_days(warehouse: Warehouse) -> DataFrame:
 
 
 def _server_days(warehouse: Warehouse) -> DataFrame:
-    return warehouse.read("fato_servidor").groupBy(F.col("sk_tempo_referencia").alias("sk_tempo")).agg(
+    return _server_months(warehouse).groupBy(F.col("sk_tempo_referencia").alias("sk_tempo"), "anomes").agg(
         F.count(F.lit(1)).alias("servers"),
         _total("disponibilidade_pct").alias("pct"),
         F.count("disponibilidade_pct").alias("pct_n"),
@@ -218,10 +230,17 @@ def calendar_two_fact_join(warehouse: Warehouse) -> DataFrame:
     times the multiplicity of the other side, and the product is never built.
     """
     calendar = warehouse.read("dim_tempo").select("sk_tempo", "anomes", "dia")
-    both = _ticket_days(warehouse).join(_server_days(warehouse), "sk_tempo", "full")
-    return both.join(_sized(calendar), "sk_tempo").select(
+    # A day has one server row. It goes to each ticket row of the day, and stays alone where there is none; as a union
+    # with a window, not as a full join, through which no filter on the month would reach the facts.
+    day = Window.partitionBy("anomes", "sk_tempo")
+    measures = ["servers", "pct", "pct_n", *SERVER_SUMS]
+    both = _ticket_days(warehouse).unionByName(_server_days(warehouse), allowMissingColumns=True)
+    both = both.withColumns({
+        **{c: F.max(c).over(day) for c in measures}, "_tickets": F.max("n").over(day)})
+    paired = both.where(F.col("n").isNotNull() | F.col("_tickets").isNull())
+    return paired.join(_sized(calendar), ["sk_tempo", "anomes"]).select(
         "anomes", "dia", "nm_cliente", F.col("n").alias("tickets"), "checklists", "csi", "crises",
-        "acted", "hours", "timed", "servers", "pct", "pct_n", *SERVER_SUMS,
+        "acted", "hours", "timed", *measures,
     )
 
 
@@ -230,7 +249,7 @@ def _server_day_masks(warehouse: Warehouse) -> DataFrame:
     calendar = warehouse.read("dim_tempo").select(
         F.col("sk_tempo").alias("sk_tempo_referencia"), "anomes", "dia"
     )
-    days = warehouse.read("fato_servidor").join(_sized(calendar), "sk_tempo_referencia")
+    days = _server_months(warehouse).join(_sized(calendar), ["sk_tempo_referencia", "anomes"])
     per_server = days.groupBy("anomes", "sk_servidor").agg(F.bit_or(_day_bit()).alias("server_days"))
     return per_server.groupBy("anomes", "server_days").agg(F.count(F.lit(1)).alias("seen"))
 
@@ -302,12 +321,12 @@ def executive_summary_fixed(warehouse: Warehouse, ordered: bool = True) -> DataF
     """
     calendar = warehouse.read("dim_tempo").select("sk_tempo", "anomes")
     group = ["anomes", "nm_cliente"]
-    tickets = _ticket_days(warehouse).join(_sized(calendar), "sk_tempo").groupBy(*group).agg(
+    tickets = _ticket_days(warehouse).join(_sized(calendar), ["sk_tempo", "anomes"]).groupBy(*group).agg(
         *[_total(c).alias(c) for c in ("n", "checklists", "csi", "crises", "acted", "hours", "timed")]
     )
     per_server = (
-        warehouse.read("fato_servidor")
-        .join(_sized(calendar), F.col("sk_tempo_referencia") == F.col("sk_tempo"))
+        _server_months(warehouse).withColumnRenamed("sk_tempo_referencia", "sk_tempo")
+        .join(_sized(calendar), ["sk_tempo", "anomes"])
         .groupBy("anomes", "sk_servidor")
         .agg(
             _total("disponibilidade_pct").alias("pct"),
@@ -323,12 +342,12 @@ def executive_summary_fixed(warehouse: Warehouse, ordered: bool = True) -> DataF
         .agg(F.count(F.lit(1)).alias("servers"), _total("pct").alias("pct"), _total("pct_n").alias("pct_n"),
              *[_total(c).alias(c) for c in SERVER_SUMS])
         .join(_sized(clients), "sk_cliente", "left")
-        .select(F.col("anomes").alias("_a"), F.col("nm_cliente").alias("_c"), "servers", "pct", "pct_n", *SERVER_SUMS)
-    )
-    same = (F.col("anomes") == F.col("_a")) & F.col("nm_cliente").eqNullSafe(F.col("_c"))
-    both = tickets.join(servers, same, "full").withColumns(
-        {"anomes": F.coalesce("anomes", "_a"), "nm_cliente": F.coalesce("nm_cliente", "_c")}
+        .groupBy(*group)
+        .agg(*[_total(c).alias(c) for c in ("servers", "pct", "pct_n", *SERVER_SUMS)])
     )
+    # At most one row of each fact for a group, so the greatest is that row's value.
+    united = tickets.unionByName(servers, allowMissingColumns=True)
+    both = united.groupBy(*group).agg(*[F.max(c).alias(c) for c in united.columns if c not in group])
 
     def zero(name: str) -> Column:
         return F.coalesce(name, F.lit(0)).cast("bigint")
@@ -357,11 +376,12 @@ MARTS = {
     "vw_csi_melhorias": star_detail_csi,
     "vw_indicadores": ticket_indicators,
     "vw_tecnica_completa": bridge_join,
+    "vw_tecnica_completa_mes": bridge_join_fixed,
 }
 
 
 def publish_marts(warehouse: Warehouse, prefix: str = "") -> dict[str, DataFrame]:
-    """The six marts as temporary views."""
+    """The six marts as temporary views, and beside the full technical one its reading with the ticket's month only."""
     marts = {name: build(warehouse) for name, build in MARTS.items()}
     for name, df in marts.items():
         df.createOrReplaceTempView(f"{prefix}{name}")

@@ -12,6 +12,7 @@ Folders that no table points to any more can be expired once no reader is left o
 from __future__ import annotations
 
 import hashlib
+import json
 import time
 import uuid
 from collections.abc import Sequence
@@ -123,8 +124,9 @@ class Warehouse:
     def _publish(self, table: str, load: str, folders: dict[str, str]) -> None:
         """Record the folders of a finished load in one file, then switch to them."""
         if folders:
-            rows = [(value, folder, load) for value, folder in folders.items()]
-            self.spark.createDataFrame(rows, SWITCHES).coalesce(1).write.mode("append").parquet(f"{self.root}/trocas/{table}")
+            rows = json.dumps([{"particao": value, "local": folder, "carga": load} for value, folder in folders.items()])
+            record = F.inline(F.from_json(F.lit(rows), f"array<struct<{SWITCHES}>>"))
+            self.spark.range(1, numPartitions=1).select(record).write.mode("append").parquet(f"{self.root}/trocas/{table}")
             self._switch(table, folders)
 
     def _parquet(self, path: str, schema: str | T.StructType) -> DataFrame | None:
