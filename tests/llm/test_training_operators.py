@@ -305,7 +305,7 @@ def test_document_counts_are_exact(docs):
         own[r["doc_id"]] = near_documents.shingles(r["text"], words)[0]
         counts.update(own[r["doc_id"]].tolist())
     for r in classes.collect():
-        assert np.frombuffer(r["held_by"], "<i8").tolist() == [counts[k] for k in own[r["id"]].tolist()]
+        assert near_documents.unpacked(bytes(r["held_by"])).tolist() == [counts[k] for k in own[r["id"]].tolist()]
 
 
 def test_kept_and_texts_without_a_word(spark, sf_dir):
