@@ -30,7 +30,7 @@ SPACE = "▁"
 UNKNOWN_PENALTY = 10.0
 CHUNK = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 TABLE_CHARS, LONGEST = 256, 48
-BATCH_CHARS = 3_000_000
+BATCH_CHARS = 1_000_000
 
 
 @dataclass(frozen=True)
