@@ -103,7 +103,7 @@ def raw_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     landed = seen.withColumn("status", F.when(F.col("page") == 2, 5).otherwise(F.col("status")))
     nested = F.struct("cf_sgdb", "cf_ambiente", "cf_csi_status").alias("custom_fields")
     return landed.select(
-        "id", "company_id", "subject", "status", "priority", "type",
+        "id", "company_id", "subject", F.col("status").cast("string").alias("status"), "priority", "type",
         _iso(F.col("created_at")).alias("created_at"), _iso(F.col("updated_at")).alias("updated_at"),
         nested, "window_start", "page", "pos",
     )
@@ -193,7 +193,7 @@ PAGE_SIZE = 100
 
 def land_ticket_pages(spark: SparkSession, sf_dir: str, path: str) -> str:
     """Raw tickets as JSON lines, each line an array of at most ``PAGE_SIZE`` tickets per window and page."""
-    pages = raw_pages(spark, sf_dir).withColumn("_page", F.floor(F.col("pos") / PAGE_SIZE))
+    pages = raw_pages(spark, sf_dir).withColumn("status", F.col("status").cast("int")).withColumn("_page", F.floor(F.col("pos") / PAGE_SIZE))
     ticket = F.struct(*[c for c in pages.columns if c != "_page"])
     lines = pages.groupBy("window_start", "page", "_page").agg(F.collect_list(ticket).alias("tickets"))
     lines.select(F.to_json("tickets").alias("value")).write.text(path)

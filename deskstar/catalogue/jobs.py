@@ -9,7 +9,7 @@ from deskstar import schemas
 from deskstar.catalogue import sql as q
 from deskstar.catalogue.lake import _RAW, undotted
 from deskstar.catalogue.registry import query
-from deskstar.catalogue.relational import EXECUTIVE_SQL
+from deskstar.catalogue.relational import EXECUTIVE_SQL, MARTS_SQL, mart_figures
 from deskstar.plans import dimensions, facts, marts
 from deskstar.plans.monthly import MonthlyInputs, run_month
 from deskstar.plans.refine import build_curated_tickets_legacy
@@ -138,18 +138,10 @@ def _(spark, sf):
     return marts.executive_summary(wh)
 
 
-@query("publish_marts", q.with_ctes("""SELECT 'vw_executiva' AS mart, count(*) AS linhas FROM (SELECT DISTINCT dt.anomes, ft.sk_cliente FROM dim_tempo dt
-      LEFT JOIN fato_ticket ft ON ft.sk_tempo_criacao = dt.sk_tempo LEFT JOIN fato_servidor fs ON fs.sk_tempo_referencia = dt.sk_tempo
-      WHERE ft.id_ticket_origem IS NOT NULL OR fs.sk_servidor IS NOT NULL)
-    UNION ALL SELECT 'vw_tecnica', count(*) FROM fato_ticket UNION ALL SELECT 'vw_executiva_disponibilidade_capacity', count(*) FROM fato_servidor
-    UNION ALL SELECT 'vw_csi_melhorias', count(*) FROM fato_csi
-    UNION ALL SELECT 'vw_indicadores', count(*) FROM (SELECT DISTINCT sk_tempo_criacao // 100, sk_cliente, sk_tipo_ticket, sk_status_ticket FROM fato_ticket)
-    UNION ALL SELECT 'vw_tecnica_completa', count(*) FROM fato_ticket ft LEFT JOIN dim_servidor s ON ft.sk_servidor = s.sk_servidor
-      LEFT JOIN map_servidor_instancia m ON s.instancia = m.instancia LEFT JOIN dim_servidor si ON m.host_name = si.host_name
-      LEFT JOIN fato_servidor fs ON fs.sk_servidor = si.sk_servidor"""))
+@query("publish_marts", MARTS_SQL)
 def _(spark, sf):
     names = marts.publish_marts(b.star(spark, sf).warehouse)
-    return spark.sql(" UNION ALL ".join(f"SELECT '{n}' AS mart, count(*) AS linhas FROM {n}" for n in names))
+    return spark.sql(" UNION ALL ".join(mart_figures(name, name) for name in names))
 
 
 @query("stream_tickets", _TICKET_SQL)

@@ -19,7 +19,7 @@ from deskstar.sources import contracts, layers, raw, warehouse
 
 C = F.col
 
-_RAW = """id, company_id, subject, CAST(status AS INTEGER) AS status, CAST(priority AS INTEGER) AS priority, type,
+_RAW = """id, company_id, subject, CAST(status AS VARCHAR) AS status, CAST(priority AS INTEGER) AS priority, type,
     strftime(created_at, '%Y-%m-%dT%H:%M:%S.%fZ') AS created_at, strftime(updated_at, '%Y-%m-%dT%H:%M:%S.%fZ') AS updated_at,
     cf_sgdb AS custom_fields__cf_sgdb, cf_ambiente AS custom_fields__cf_ambiente, cf_csi_status AS custom_fields__cf_csi_status"""
 
@@ -159,7 +159,7 @@ def _(spark, sf):
 
 
 @query("dedupe_landed_pages", q.with_ctes(
-    "SELECT id, page, pos, CAST(status AS INTEGER) AS status, window_start FROM bt"))
+    "SELECT id, page, pos, CAST(status AS VARCHAR) AS status, window_start FROM bt"))
 def _(spark, sf):
     return raw.dedupe_landed_pages(b.raw_pages(spark, sf)).select("id", "page", "pos", "status", "window_start")
 

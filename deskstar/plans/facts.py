@@ -16,7 +16,7 @@ from deskstar.operators.members import (
     insert_missing_members,
     time_members,
 )
-from deskstar.operators.quality import reject_invalid_period, require_resolved_sk
+from deskstar.operators.quality import reject_invalid_period, require_resolved_sk, split_invalid_period
 from deskstar.operators.upserts import replace_month_by_date, replace_period, upsert_by_id
 from deskstar.plans.refine import ORDER, filter_csi, filter_valid_id
 from deskstar.sources.contracts import lower_names, require_columns
@@ -123,22 +123,42 @@ def load_fato_csi(
 
 
 # --- servers -----------------------------------------------------------------------------------------
-def prepare_servers(staging: DataFrame, mode: str = "strict") -> DataFrame:
-    """Typed monthly rows with reference date and natural key, first row per (server, month)."""
+WRITTEN = "_anomes"  # the month as the file has it
+
+
+def valid_periods(warehouse: Warehouse | None, dated: DataFrame, table: str, mode: str) -> DataFrame:
+    """Rows whose month parses; in strict mode another one fails the job, in quarantine it is kept with the rejects."""
+    if mode != "strict" and warehouse is not None:
+        _, bad = split_invalid_period(dated, "DATA_REFERENCIA")
+        bad = bad.withColumn("ANOMES", F.col(WRITTEN)).drop(WRITTEN)
+        warehouse.reject(bad, table, ["INSTANCIA", "HOST_NAME", "ANOMES"], F.lit("ANOMES"))
+    return reject_invalid_period(dated, "DATA_REFERENCIA", WRITTEN, mode).drop(WRITTEN)
+
+
+def prepare_servers(staging: DataFrame, mode: str = "strict", warehouse: Warehouse | None = None) -> DataFrame:
+    """Typed monthly rows with reference date and natural key, first row per (server, month).
+
+    Rows that a load does not take are kept in ``warehouse.rejected("fato_servidor")`` where a warehouse is given: those
+    without a server name in both modes, those whose month does not parse in quarantine. The month is kept as written.
+    """
     require_columns(staging, schemas.REQUIRED["staging_servers"])
     typed = coerce_numeric(staging, MEASURES).withColumns(
         {
+            WRITTEN: F.col("ANOMES").cast("string"),
             "ANOMES": F.col("ANOMES").try_cast("int"),
             "INSTANCIA": text.normalise_text(F.col("INSTANCIA")),
             "HOST_NAME": text.normalise_text(F.col("HOST_NAME")),
         }
     )
     dated = typed.withColumn("DATA_REFERENCIA", temporal.yyyymm_to_date(F.col("ANOMES")))
-    valid = reject_invalid_period(dated, "DATA_REFERENCIA", "ANOMES", mode)
+    valid = valid_periods(warehouse, dated, "fato_servidor", mode)
     keyed = valid.withColumn(
         "NK_SERVIDOR", text.server_natural_key(F.col("HOST_NAME"), F.col("INSTANCIA"))
     )
     named = filter_nonblank_keys(keyed, ["NK_SERVIDOR"])
+    if warehouse is not None:
+        nameless = keyed.where(text.normalise_text(F.col("NK_SERVIDOR")) == "")
+        warehouse.reject(nameless, "fato_servidor", ["INSTANCIA", "HOST_NAME", "ANOMES"], F.lit("NK_SERVIDOR"))
     return keep_first(named, ["NK_SERVIDOR", "ANOMES"], server_order(named))
 
 
@@ -193,7 +213,7 @@ def load_fato_servidor(
     load_ts: Column | None = None,
 ) -> DataFrame:
     """Reference months, servers and the monthly fact out of one staging file."""
-    prepared = warehouse.stage(prepare_servers(staging, mode), "servers")
+    prepared = warehouse.stage(prepare_servers(staging, mode, warehouse), "servers")
     load_feed_dimensions(warehouse, prepared)
     good, bad = require_resolved_sk(server_fact(warehouse, prepared), SERVER_MANDATORY, mode)
     _keep_rejects(warehouse, bad, "fato_servidor", ["NK_SERVIDOR", "ANOMES"], SERVER_MANDATORY, mode)
@@ -208,9 +228,10 @@ def load_fato_servidor(
 # --- flat tables of the legacy generation ---------------------------------------------------------------
 def load_flat_servers(warehouse: Warehouse, staging: DataFrame, mode: str = "strict") -> DataFrame:
     require_columns(staging, schemas.REQUIRED["staging_servers"])
-    typed = coerce_numeric(staging, MEASURES).withColumn("ANOMES", F.col("ANOMES").try_cast("int"))
+    typed = coerce_numeric(staging, MEASURES).withColumns(
+        {WRITTEN: F.col("ANOMES").cast("string"), "ANOMES": F.col("ANOMES").try_cast("int")})
     dated = typed.withColumn("DATA_REFERENCIA", temporal.yyyymm_to_date(F.col("ANOMES")))
-    valid = reject_invalid_period(dated, "DATA_REFERENCIA", "ANOMES", mode)
+    valid = valid_periods(warehouse, dated, "fato_servidores_mensal", mode)
     unique = keep_first(valid, ["INSTANCIA", "ANOMES"], server_order(valid))
     return replace_period(warehouse, "fato_servidores_mensal", lower_names(unique))
 

@@ -123,7 +123,8 @@ def build_curated_tickets_legacy(
     """The nine columns of the legacy generation; every text column is filled."""
     require_columns(staging, schemas.REQUIRED["staging_tickets_legacy"])
     order = _order_of(staging)
-    numeric = dict(staging.dtypes)["status"] != "string"
+    status = F.col("status")
+    coded = status.isNull() | status.try_cast("bigint").isNotNull()
     present = set(staging.columns)
     null_text = F.lit(None).cast("string")
     subject = F.col("subject") if "subject" in present else null_text
@@ -152,7 +153,7 @@ def build_curated_tickets_legacy(
             "empresa": company,
             "data_criacao": F.date_format(created, "yyyy-MM-dd"),
             "data_ultima_alteracao": F.date_format(updated, "yyyy-MM-dd"),
-            "status_ticket": text.map_status_legacy(F.col("status"), numeric),
+            "status_ticket": F.when(coded, text.map_status_legacy(status)).otherwise(text.map_status_legacy(status, numeric=False)),
             "foi_atuado": temporal.acted_flag(created, updated, negative="não"),
             "titulo_ticket": text.clean_title_legacy(subject, kind, title_customers),
             "csi_status": gate,

@@ -25,7 +25,7 @@ def _feed(items: T.StructType) -> T.StructType:
 
 # --- raw documents -----------------------------------------------------------------------------
 RAW_TICKET = columns(
-    "id BIGINT, company_id BIGINT, subject STRING, status INT, priority INT, type STRING, "
+    "id BIGINT, company_id BIGINT, subject STRING, status STRING, priority INT, type STRING, "
     "created_at STRING, updated_at STRING"
 ).add("custom_fields", columns("cf_sgdb STRING, cf_ambiente STRING, cf_csi_status STRING"))
 # Position of a ticket in the landed result pages.
@@ -40,7 +40,7 @@ RAW_VOLUMETRY = _feed(
 
 # --- lake layers -------------------------------------------------------------------------------
 STAGING_TICKETS = columns(
-    "id BIGINT, company_id BIGINT, subject STRING, status INT, priority INT, type STRING, "
+    "id BIGINT, company_id BIGINT, subject STRING, status STRING, priority INT, type STRING, "
     "created_at STRING, updated_at STRING, `custom_fields.cf_sgdb` STRING, "
     "`custom_fields.cf_ambiente` STRING, `custom_fields.cf_csi_status` STRING"
 )

@@ -42,7 +42,7 @@ def checked_lines(
 ) -> DataFrame:
     """Rows read ``as_text`` (and ``FILE``) with the types of ``schema``.
 
-    A line that does not parse, or a value that is not of its type, fails the job in strict mode. In quarantine it is kept
+    A line that does not parse, or a value that is not of its type, fails the job in strict mode, whatever columns are read. In quarantine it is kept
     in ``warehouse.rejected("raw_tickets")``; its row goes on if the key is there.
     """
     typed = {f.name: F.col(f.name).try_cast(f.dataType) for f in schema.fields if not isinstance(f.dataType, T.StructType)}
@@ -57,7 +57,8 @@ def checked_lines(
     else:
         message = F.concat(F.lit("unreadable "), reason, F.lit(" in "), F.coalesce(FILE, F.lit("?")), F.lit(": "),
                            F.left(F.coalesce(CORRUPT, F.to_json(F.struct(*typed))), F.lit(200)))
-        typed[key] = F.when(reason != "", F.raise_error(message)).otherwise(typed[key])
+        # In a filter, so that the check stays whatever columns are read afterwards.
+        df = df.where(F.when(reason != "", F.raise_error(message).cast("boolean")).otherwise(F.lit(True)))
     # All at once, so that each fault is judged by the texts.
     return df.withColumns(typed).drop(CORRUPT, FILE)
 

@@ -1,6 +1,8 @@
 """Loads and marts as a whole."""
 
+import itertools
 import json
+from collections import defaultdict
 
 import pytest
 from pyspark.sql import functions as F
@@ -48,18 +50,32 @@ def test_blank_improvement_status_aborts_the_strict_load(spark, star, tmp_path):
     assert not wh.exists("fato_csi")
 
 
-def test_executive_mart_equals_the_product(spark, star):
-    star.warehouse.publish_views("t_")
-    naive = spark.sql("""
-        SELECT dt.anomes, c.nm_cliente, count(DISTINCT ft.id_ticket_origem) total_tickets,
-          sum(CASE WHEN tt.nm_tipo_ticket = 'CSI' THEN 1 ELSE 0 END) qtd_csi, sum(ft.foi_atuado) tickets_atuados,
-          count(DISTINCT fs.sk_servidor) qtd_servidores_monitorados, sum(fs.minutos_indisponiveis) total_minutos_indisponiveis,
-          CAST(sum(fs.tamanho_gb) AS DECIMAL(38,2)) volumetria_total_gb
-        FROM t_dim_tempo dt LEFT JOIN t_fato_ticket ft ON ft.sk_tempo_criacao = dt.sk_tempo
-        LEFT JOIN t_dim_cliente c ON ft.sk_cliente = c.sk_cliente LEFT JOIN t_dim_tipo_ticket tt ON ft.sk_tipo_ticket = tt.sk_tipo_ticket
-        LEFT JOIN t_fato_servidor fs ON fs.sk_tempo_referencia = dt.sk_tempo
-        WHERE ft.id_ticket_origem IS NOT NULL OR fs.sk_fato_servidor IS NOT NULL GROUP BY 1, 2""")
-    assert table(marts.executive_summary(star.warehouse).select(*naive.columns)) == table(naive)
+def test_executive_mart_equals_the_product(star):
+    """Every ticket of a day paired with every server row of the day, one pair after the other."""
+    read = lambda table: [r.asDict() for r in star.warehouse.read(table).collect()]
+    clients = {r["sk_cliente"]: r["nm_cliente"] for r in read("dim_cliente")}
+    kinds = {r["sk_tipo_ticket"]: r["nm_tipo_ticket"] for r in read("dim_tipo_ticket")}
+    tickets, servers, groups = defaultdict(list), defaultdict(list), defaultdict(list)
+    for r in read("fato_ticket"):
+        tickets[r["sk_tempo_criacao"]].append(r)
+    for r in read("fato_servidor"):
+        servers[r["sk_tempo_referencia"]].append(r)
+    for day in tickets.keys() | servers.keys():
+        for t, s in itertools.product(tickets[day] or [{}], servers[day] or [{}]):
+            groups[day // 100, clients.get(t.get("sk_cliente"))].append((t, s))
+
+    def total(values):
+        known = [v for v in values if v is not None]
+        return sum(known) if known else None
+
+    expected = sorted(repr((
+        *group, len({t["id_ticket_origem"] for t, _ in rows if t}), sum(kinds.get(t.get("sk_tipo_ticket")) == "CSI" for t, _ in rows),
+        total(t.get("foi_atuado") for t, _ in rows), len({s["sk_servidor"] for _, s in rows if s}),
+        total(s.get("minutos_indisponiveis") for _, s in rows), total(s.get("tamanho_gb") for _, s in rows)))
+        for group, rows in groups.items())
+    columns = ("anomes", "nm_cliente", "total_tickets", "qtd_csi", "tickets_atuados", "qtd_servidores_monitorados",
+               "total_minutos_indisponiveis", "volumetria_total_gb")
+    assert table(marts.executive_summary(star.warehouse).select(*columns)) == expected
 
 
 def test_fixed_mart_adds_up_to_the_facts(star):
