@@ -246,7 +246,7 @@ heads AS (SELECT *, regexp_extract(url, '^([a-zA-Z]+://[^/?]*)', 1) AS head FROM
 keyed AS (
     SELECT *, CASE WHEN head = '' THEN url ELSE
            CASE WHEN lower(head) LIKE 'http://%:80' THEN lower(head[:-4]) WHEN lower(head) LIKE 'https://%:443' THEN lower(head[:-5])
-                ELSE lower(head) END || CASE WHEN length(url) = length(head) THEN '/' ELSE url[length(head) + 1:] END END AS key
+                ELSE lower(head) END || CASE WHEN url[length(head) + 1:] = '' OR url[length(head) + 1:] LIKE '?%' THEN '/' ELSE '' END || url[length(head) + 1:] END AS key
     FROM heads),
 paired AS (
     SELECT v.*, f.id AS response, length(f.html) AS size, f.modified AS old,

@@ -13,12 +13,12 @@ KEPT_FROM_REVISIT = ("date", "etag", "last-modified", "expires", "cache-control"
 
 
 def canonical(url: Column) -> Column:
-    """Without fragment and the scheme's own default port, scheme and host in lower case, an empty path as a slash."""
+    """Without fragment and the scheme's own default port, scheme and host in lower case, an empty path as a slash (also before a query)."""
     plain = F.regexp_replace(F.trim(url), "#.*$", "")
     head = F.lower(F.regexp_extract(plain, "^([a-zA-Z]+://[^/?]*)", 1))
     head = F.regexp_replace(head, "^(http://.*):80$|^(https://.*):443$", "$1$2")
     rest = F.regexp_extract(plain, "^[a-zA-Z]+://[^/?]*(.*)$", 1)
-    return F.when(head == "", plain).otherwise(F.concat(head, F.when(rest == "", "/").otherwise(rest)))
+    return F.when(head == "", plain).otherwise(F.concat(head, F.when((rest == "") | rest.startswith("?"), F.concat(F.lit("/"), rest)).otherwise(rest)))
 
 
 def resolve(records: DataFrame, stretch: int = 10_000) -> DataFrame:
@@ -28,7 +28,9 @@ def resolve(records: DataFrame, stretch: int = 10_000) -> DataFrame:
     A full response is its own. A revisit takes the latest full response of its URL before it (by ``at``, then id) if both
     have the same etag, compared weakly, or, where one of them has none, the same last_modified; else, and with a null URL
     or time, it stays unresolved (null). Headers of a
-    resolved revisit are the response's, replaced by those that a not-modified answer may update. Rows with a null
+    resolved revisit are the response's, replaced by those that a not-modified answer may update; names compare without
+    case and keep the spelling of the row that they come from. Among responses of one time the greatest id is the latest,
+    and of repeated rows that share time and id any one counts. Rows with a null
     ``revisit`` count as full. Repeated rows stay. Other columns are ignored. An empty table gives an empty table.
     """
     weak = F.regexp_replace("etag", "^W/", "")
@@ -52,7 +54,7 @@ def resolve(records: DataFrame, stretch: int = 10_000) -> DataFrame:
     update = F.map_filter(F.coalesce("headers", F.create_map().cast("map<string,string>")),
                           lambda k, _: F.lower(k).isin(*KEPT_FROM_REVISIT))
     old = F.map_filter(F.coalesce("r.headers", F.create_map().cast("map<string,string>")),
-                       lambda k, _: ~F.array_contains(F.map_keys(update), k))
+                       lambda k, _: ~F.array_contains(F.transform(F.map_keys(update), F.lower), F.lower(k)))
     out = found.select(
         "id", F.when(~F.col("revisit"), F.col("id")).when(match, F.col("r.id")).alias("response_id"),
         F.when(~F.col("revisit"), F.col("headers")).when(match, F.map_concat(old, update)).otherwise(

@@ -22,3 +22,13 @@ def test_last_modified_and_ports(spark):
     found = {r["id"]: r for r in revisits.resolve(spark.createDataFrame(rows, schema)).collect()}
     assert {k: r["response_id"] for k, r in found.items()} == {1: 1, 2: 1, 3: None, 4: 4, 5: None, 6: 4, 7: None, 8: None}
     assert found[2]["headers"] == {"last-modified": "m"}
+
+
+def test_names_in_any_case_ties_and_repeats(spark):
+    rows = [(1, "http://a?q", 1, False, "e", {"Date": "1", "Expires": "1", "Server": "s"}),
+            (2, "http://a/?q", 2, True, "e", {"date": "2", "expires": "2", "server": "t"}),
+            (3, "http://b/", 5, False, "e", {}), (4, "http://b/", 5, False, "f", {}), (5, "http://b/", 5, True, "f", {}),
+            (6, "http://b/", 6, True, "f", {}), (6, "http://b/", 6, True, "f", {})]
+    found = [(r["id"], r["response_id"], r["headers"]) for r in revisits.resolve(spark.createDataFrame(rows, SCHEMA)).collect()]
+    assert (2, 1, {"Server": "s", "date": "2", "expires": "2"}) in found
+    assert sorted(f[:2] for f in found) == [(1, 1), (2, 1), (3, 3), (4, 4), (5, 4), (6, 4), (6, 4)]
