@@ -15,13 +15,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from deskstar.llm.common import mapped
+from deskstar.llm.common import mapped, staged
 
 UNKNOWN = "und"
 RESULT = "struct<lang: string, score: double>"
 BLANK = 32
 BITS = 21  # of a code point; a gram of up to three is one 63-bit number, ordered as the gram is by code point
 PIECE = 1 << 22
+BROADCAST_NAMES = 10_000
 
 
 @lru_cache(maxsize=1)
@@ -81,6 +82,10 @@ def learn(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str
     usable = usable.where(F.col("id").isNotNull() & F.col("text").isNotNull() & F.col("lang").isNotNull()
                           & ~held_out(F.col("id")))
     share = usable.groupBy("lang").agg((F.lit(float(docs_per_language)) / F.count("*")).alias("share"))
+    share = staged(share, "shares")
+    # One row a language; where they are few, the draw filters before any text moves.
+    if share.count() <= BROADCAST_NAMES:
+        share = F.broadcast(share)
     draw = F.shiftrightunsigned(F.xxhash64(F.lit(11), "id"), 11) / F.lit(float(1 << 53))
     sample = usable.join(share, "lang").where(draw < F.col("share")).select("lang", "text")
 
