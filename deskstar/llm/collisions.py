@@ -7,12 +7,15 @@ their cosine, and a pair at the bar is missed with a chance of at most ``miss``.
 
 The vectors are cut into blocks along the first projection. A pair of blocks meets if their ranges come within the window
 of one another that holds all but ``miss`` of the pairs at the bar. In a pair, each projection of the one block is sorted,
-windows of the other become ranges of ranks, and counts add up rank comparisons.
+windows of the other become ranges of ranks, and counts add up rank comparisons. A block that ties have made larger than
+asked for is split by a hash of the ids. What leaves a pair of blocks is a number of links and a root for each row that
+has any, never the links themselves.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -39,32 +42,45 @@ def calibrated(projections: int, rate: float, miss: float) -> int:
     return projections
 
 
-def reaching(p: np.ndarray, q: np.ndarray, half_width: float, count: int) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs (row of ``p``, row of ``q``) that collide in at least ``count`` projections."""
+def reaching(p: np.ndarray, q: np.ndarray, half_width: float, count: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs (row of ``p``, row of ``q``) that collide in at least ``count`` projections, some rows of ``p`` at a time."""
     ranks, low, wide = [], [], []
+    kind = np.uint16 if len(q) < 1 << 16 else np.uint32
     for k in range(p.shape[1]):
         order = np.argsort(q[:, k], kind="stable")
-        rank = np.empty(len(q), dtype=np.uint16)
+        rank = np.empty(len(q), dtype=kind)
         rank[order] = np.arange(len(q))
         a, b = (np.searchsorted(q[order, k], p[:, k] + s * half_width, side) for s, side in ((-1, "left"), (1, "right")))
         ranks.append(rank)
-        low.append(a.astype(np.uint16))
-        wide.append((b - a).astype(np.uint16))
-    left, right = [], []
+        low.append(a.astype(kind))
+        wide.append((b - a).astype(kind))
     for start in range(0, len(p), ROWS_AT_ONCE):
         part = slice(start, start + ROWS_AT_ONCE)
         hits = np.zeros((len(p[part]), len(q)), dtype=np.uint8)
         for rank, a, w in zip(ranks, low, wide, strict=True):
             hits += rank[None, :] - a[part, None] < w[part, None]
         i, j = np.nonzero(hits >= count)
-        left.append(i + start)
-        right.append(j)
-    return np.concatenate(left), np.concatenate(right)
+        yield i + start, j
+
+
+def rooted(root: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The smallest node of each node's component, once the links ``a``-``b`` are added to components named by ``root``."""
+    while True:
+        x, y = root[a], root[b]
+        if (x == y).all():
+            return root
+        root = root.copy()
+        np.minimum.at(root, np.maximum(x, y), np.minimum(x, y))
+        while (root[root] != root).any():
+            root = root[root]
 
 
 def links(classes: DataFrame, dim: int, threshold: float, projections: int, miss: float, block_rows: int,
           seed: int) -> DataFrame:
-    """Verified pairs of ``classes`` (id, n, v): columns a, b, n_a, n_b with a < b."""
+    """What ``classes`` (id, n, v) link with, one row per class and pair of blocks: columns id, root and m.
+
+    ``m`` is the number of vectors linked there, ``root`` the smallest id reached by links of that pair of blocks.
+    """
     rng = np.random.default_rng(seed)
     directions = rng.standard_normal((dim, projections))
     distance = math.sqrt(2.0 - 2.0 * threshold)
@@ -88,33 +104,46 @@ def links(classes: DataFrame, dim: int, threshold: float, projections: int, miss
         return F.size(F.filter(edges, lambda c: c <= p))
 
     placed = placed.withColumn("block", block(F.col("p")))
-    one = placed.withColumn("i", F.col("block")).withColumn(
-        "j", F.explode(F.sequence(F.col("block"), block(F.col("p") + reach))))
-    two = placed.withColumn("j", F.col("block")).withColumn(
-        "i", F.explode(F.sequence(block(F.col("p") - reach), F.col("block"))))
+    held = {r["block"]: r["count"] for r in placed.groupBy("block").count().collect()}
+    parts = F.array(*[F.lit(-(-held.get(k, 1) // (2 * block_rows))) for k in range(len(cuts) + 1)])
+    placed = placed.withColumn("part", F.pmod(F.xxhash64("id"), F.element_at(parts, F.col("block") + 1)).cast("int"))
+
+    def every_part(of: str):
+        return F.explode(F.sequence(F.lit(0), F.element_at(parts, F.col(of) + 1) - 1))
+
+    one = placed.select("id", "n", "v", F.col("block").alias("i"), F.col("part").alias("s"), F.explode(
+        F.sequence(F.col("block"), block(F.col("p") + reach))).alias("j")).withColumn("t", every_part("j"))
+    two = placed.select("id", "n", "v", F.col("block").alias("j"), F.col("part").alias("t"), F.explode(
+        F.sequence(block(F.col("p") - reach), F.col("block"))).alias("i")).withColumn("s", every_part("i"))
+    once = F.expr("i < j or s <= t")
 
     def verified(x: pa.Table, y: pa.Table) -> pa.Table:
-        a, b, na, nb = (np.zeros(0, dtype=np.int64) for _ in range(4))
+        ids = m = root = np.zeros(0, dtype=np.int64)
         if x.num_rows and y.num_rows:
             v, w = np.stack(stacked(x.column("v"))), np.stack(stacked(y.column("v")))
             lengths = np.sqrt((v * v).sum(axis=1)), np.sqrt((w * w).sum(axis=1))
-            i, j = reaching(v / lengths[0][:, None] @ directions, w / lengths[1][:, None] @ directions, half_width, count)
-            a, b = x.column("id").to_numpy()[i], y.column("id").to_numpy()[j]
-            same = x.column("i")[0].as_py() == x.column("j")[0].as_py()
-            ordered = a < b if same else a != b
-            i, j, a, b = i[ordered], j[ordered], a[ordered], b[ordered]
-            cosine = np.concatenate([
-                (v[i[s:s + 65536]] * w[j[s:s + 65536]]).sum(axis=1) for s in range(0, len(i), 65536)] or [np.zeros(0)])
-            near = cosine / (lengths[0][i] * lengths[1][j]) >= threshold
-            a, b = a[near], b[near]
-            na, nb = x.column("n").to_numpy()[i[near]], y.column("n").to_numpy()[j[near]]
-        first = a < b
-        return pa.table({"a": np.where(first, a, b), "b": np.where(first, b, a), "n_a": np.where(first, na, nb),
-                         "n_b": np.where(first, nb, na)})
-
-    met = one.select("i", "j", "id", "n", "v").groupBy("i", "j").cogroup(
-        two.select("i", "j", "id", "n", "v").groupBy("i", "j"))
-    return met.applyInArrow(verified, "a bigint, b bigint, n_a bigint, n_b bigint")
+            ids, node = np.unique(np.concatenate([x.column("id").to_numpy(), y.column("id").to_numpy()]), return_inverse=True)
+            left, right = node[:len(v)], node[len(v):]
+            n_left, n_right = x.column("n").to_numpy(), y.column("n").to_numpy()
+            m, root = np.zeros(len(ids), dtype=np.int64), np.arange(len(ids))
+            same = all(x.column(k)[0].as_py() == x.column(l)[0].as_py() for k, l in (("i", "j"), ("s", "t")))
+            for i, j in reaching(v / lengths[0][:, None] @ directions, w / lengths[1][:, None] @ directions, half_width,
+                                 count):
+                ordered = left[i] < right[j] if same else left[i] != right[j]
+                i, j = i[ordered], j[ordered]
+                near = np.concatenate([(v[i[k:k + 65536]] * w[j[k:k + 65536]]).sum(axis=1) / (
+                    lengths[0][i[k:k + 65536]] * lengths[1][j[k:k + 65536]]) >= threshold
+                    for k in range(0, len(i), 65536)] or [np.zeros(0, dtype=bool)])
+                i, j = i[near], j[near]
+                np.add.at(m, left[i], n_right[j])
+                np.add.at(m, right[j], n_left[i])
+                root = rooted(root, left[i], right[j])
+        linked = m > 0
+        return pa.table({"id": ids[linked], "root": ids[root[linked]], "m": m[linked]})
+
+    key, columns = ["i", "s", "j", "t"], ["i", "s", "j", "t", "id", "n", "v"]
+    met = one.where(once).select(*columns).groupBy(*key).cogroup(two.where(once).select(*columns).groupBy(*key))
+    return met.applyInArrow(verified, "id bigint, root bigint, m bigint")
 
 
 def near_duplicates(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding", threshold: float = 0.9,
@@ -144,9 +173,8 @@ def near_duplicates(vectors: DataFrame, vec_id: str = "vec_id", embedding: str =
         summary = own.select("a", "b", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component"))
     else:
         found = staged(found, "links")
-        both = found.select(F.col("a").alias("number"), F.col("n_b").alias("m")).union(found.select("b", "n_a"))
-        degree = both.groupBy("number").agg(F.sum("m").alias("m"))
-        group = components(found, "a", "b").withColumnRenamed("id", "number").withColumnRenamed("component", "root")
+        degree = found.groupBy(F.col("id").alias("number")).agg(F.sum("m").alias("m"))
+        group = components(found, "id", "root").withColumnRenamed("id", "number").withColumnRenamed("component", "root")
         joined = own.join(degree, "number", "left").join(group, "number", "left").withColumn(
             "root", F.coalesce("root", "number"))
         names = joined.groupBy("root").agg(F.min("id").alias("component"))

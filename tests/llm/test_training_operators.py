@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -60,6 +61,32 @@ def test_language_counts_match_brute_force():
     assert found == counts
 
 
+def test_language_choice_matches_brute_force(spark):
+    """Distance, ties, score and the rule of held-out rows, gram by gram in plain Python."""
+    rows = [(k, ("la casa de la " if k % 2 else "the house of the ") * (k % 3 + 1) + chr(97 + k % 26), "es" if k % 2 else "en")
+            for k in range(60)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    profiles = language.learn(table, length=50)
+    held = {r["doc_id"] for r in table.where(language.held_out(F.col("doc_id"))).collect()}
+    assert held == {k for k in range(60) if zlib.crc32(str(k).encode()) % 4 == 2}
+    for name in ("en", "es"):
+        total = Counter()
+        for k, text, lang in rows:
+            if lang == name and k not in held:
+                keys, counts = language.gram_counts(text)
+                total.update(dict(zip(keys.tolist(), counts.tolist(), strict=True)))
+        assert profiles[name] == sorted(total, key=lambda g: (-total[g], g))[:50]
+    twice = {"a": profiles["en"], "b": profiles["en"], "c": profiles["es"]}
+    texts = ["the house", "la casa", "zzz", "123", ""]
+    for text in texts:
+        keys, counts = language.gram_counts(text)
+        mine = sorted(keys.tolist(), key=dict(zip(keys.tolist(), (-counts).tolist(), strict=True)).get)[:50]
+        apart = {n: sum(abs(k - p.index(g)) if g in p else 50 for k, g in enumerate(mine)) for n, p in twice.items()}
+        best = min(sorted(apart), key=apart.get)
+        expected = (best, 1 - apart[best] / (50 * len(mine))) if mine else ("und", 0.0)
+        assert language.Profiles(twice, 50).classify(text) == pytest.approx(expected)
+
+
 def test_language_odd_rows(odd, none):
     profiles = {"en": language.ranked(*language.gram_counts("the cat and the dog"), 400)}
     rows = odd.select("text", language.predicted(F.col("text"), profiles).alias("p")).collect()
@@ -180,6 +207,26 @@ def test_collisions(spark, vectors):
     assert collisions.near_duplicates(spark.createDataFrame([], VECTORS)).count() == 0
 
 
+def test_collisions_of_scaled_copies(spark):
+    """One direction in many lengths ties in every projection; the block is split, and no link is lost."""
+    rng = np.random.default_rng(3)
+    base = rng.standard_normal((3, 8))
+    rows = [(k, (base[0] * (1 + k / 7)).tolist()) for k in range(300)] + [(300, base[1].tolist()), (301, base[2].tolist())]
+    table = spark.createDataFrame(rows, VECTORS.split(",")[0] + ", embedding array<double>")
+    found = {r["vec_id"]: r for r in collisions.near_duplicates(table, block_rows=20).collect()}
+    assert all((found[k]["n_links"], found[k]["component_id"]) == (299, 0) for k in range(300))
+    assert all((found[k]["n_links"], found[k]["component_id"], found[k]["kept"]) == (0, k, True) for k in (300, 301))
+
+
+def test_ranks_of_a_large_block():
+    q = np.linspace(0.0, 1.0, 70_000)[:, None]
+    p = np.array([[0.5], [2.0]])
+    for half, hits in ((1.0, 70_000), (0.25, int((np.abs(q - 0.5) <= 0.25).sum()))):
+        found = [np.stack(x) for x in collisions.reaching(p[:1], q, half, 1)]
+        assert sum(x.shape[1] for x in found) == hits
+    assert sum(len(i) for i, _ in collisions.reaching(p[1:], q, 0.5, 1)) == 0
+
+
 def test_components_of_a_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101)], "a long, b long")
     assert {r["id"]: r["component"] for r in components(edges, "a", "b").collect()} == {
