@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -11,7 +12,8 @@ from deskstar.functions.text import strip
 
 # A side is broadcast only below this planned size, whatever the session threshold is.
 BROADCAST_LIMIT = 32 * 1024 * 1024
-SALTS = 16
+# Types whose equal values have equal hashes on both sides of a join.
+HASHED_TYPES = {"string", "boolean", "tinyint", "smallint", "int", "bigint", "date", "timestamp"}
 
 
 def planned_bytes(df: DataFrame) -> int:
@@ -23,27 +25,65 @@ def small(df: DataFrame, limit: int = BROADCAST_LIMIT) -> bool:
     return planned_bytes(df) <= limit
 
 
+def hot_keys(fact: DataFrame, keys: Sequence[str], tasks: int) -> dict[int, int]:
+    """Hash of each key that holds more than two tasks' worth of the rows, and over how many tasks to spread it.
+
+    The counts come from a frequency sketch: one pass over the key columns, a bounded sketch per task, and at most
+    ``tasks / 2`` keys in the result. A count off by the sketch's error changes how a key is spread, never the rows.
+    Rows with a null in the key are left out.
+    """
+    known = F.lit(True)
+    for k in keys:
+        known = known & F.col(k).isNotNull()
+    tracked = min(max(20 * tasks, 10_000), 1_000_000)
+    found = fact.where(known).select(F.xxhash64(*keys).alias("h")).agg(
+        F.call_function("approx_top_k", F.col("h"), F.lit(max(1, tasks // 2)), F.lit(tracked)).alias("top"),
+        F.count("*").alias("n")).first()
+    return {r["item"]: min(tasks, math.ceil(r["count"] * tasks / found["n"])) for r in found["top"] or ()
+            if r["count"] * tasks > 2 * found["n"]}
+
+
 def left_lookup(
     fact: DataFrame,
     dim: DataFrame,
     on: Sequence[tuple[str, str]],
     spread_by: Sequence[str],
-    salts: int = SALTS,
+    tasks: int | None = None,
     limit: int = BROADCAST_LIMIT,
 ) -> DataFrame:
     """Left equi-join of a large table with a lookup side; the lookup's key columns are dropped.
 
-    A lookup side below ``limit`` is broadcast. A larger one is repeated once per salt and joined by
-    (key, salt), where the salt of a fact row is a hash of ``spread_by``: the rows of a hot or blank
-    key are spread over ``salts`` tasks. Every match is found in both ways.
+    A lookup side below ``limit`` is broadcast. For a larger one the fact's hot keys are found first (a job over its key
+    columns): their rows are spread over tasks by a hash of ``spread_by``, and only their lookup rows are repeated, in all
+    at most as often as there are ``tasks`` (default: the shuffle partitions) and hot keys. Rows with a null in the key
+    match nothing and are spread without a copy. Keys of other types than ``HASHED_TYPES``, or of unlike types, are not
+    spread. Every match is found in all ways.
     """
     renamed = dim.withColumnsRenamed({d: f"_k{i}" for i, (_, d) in enumerate(on)})
     condition = [F.col(f) == F.col(f"_k{i}") for i, (f, _) in enumerate(on)]
     keys = [f"_k{i}" for i in range(len(on))]
     if small(renamed, limit):
         return fact.join(F.broadcast(renamed), condition, "left").drop(*keys)
-    salted = fact.withColumn("_s", F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int"))
-    repeated = renamed.withColumn("_t", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    tasks = tasks or int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sources = [f for f, _ in on]
+    types = [(fact.schema[f].dataType.simpleString(), renamed.schema[k].dataType.simpleString())
+             for f, k in zip(sources, keys, strict=True)]
+    alike = all(a == b and a in HASHED_TYPES for a, b in types)
+    hot = hot_keys(fact, sources, tasks) if alike else {}
+
+    def copies(*names: str) -> Column:
+        if not hot:
+            return F.lit(1)
+        entries = F.create_map(*[F.lit(x) for pair in hot.items() for x in pair])
+        h = F.xxhash64(*names)
+        return F.when(h.isin(*hot), entries[h]).otherwise(F.lit(1))
+
+    blank = F.lit(False)
+    for f in sources:
+        blank = blank | F.col(f).isNull()
+    wide = F.when(blank, F.lit(tasks)).otherwise(copies(*sources))
+    salted = fact.withColumn("_s", F.pmod(F.xxhash64(*spread_by), wide).cast("int"))
+    repeated = renamed.withColumn("_t", F.explode(F.sequence(F.lit(0), copies(*keys) - 1)) if hot else F.lit(0))
     joined = salted.join(repeated, [*condition, F.col("_s") == F.col("_t")], "left")
     return joined.drop(*keys, "_s", "_t")
 

@@ -26,6 +26,25 @@ def test_both_lookup_paths_agree(spark):
     assert "broadcast" not in plan and "_s" in plan
 
 
+def test_only_hot_keys_are_repeated(spark):
+    """A key with 90 % of the rows, blank keys and two key columns: the rows of the plain join, few copies."""
+    key = F.when(C("id") % 10 < 9, F.lit(-1)).when(C("id") % 20 == 9, F.lit(None)).otherwise(C("id"))
+    fact = spark.range(6000).select("id", key.cast("bigint").alias("k"), F.lit("x").alias("m"))
+    dim = spark.range(-1, 6000).select(C("id").alias("nk"), F.lit("x").alias("nm"), (C("id") * 2).alias("sk"))
+    on = [("k", "nk"), ("m", "nm")]
+    hot = joins.hot_keys(fact, ["k", "m"], 16)
+    one = fact.where("k = -1").select(F.xxhash64("k", "m").alias("h")).first()["h"]
+    assert set(hot) == {one} and hot[one] == 16
+    spread = joins.left_lookup(fact, dim, on, ["id"], tasks=16, limit=0)
+    assert rows(spread) == rows(joins.left_lookup(fact, dim, on, ["id"])) and spread.columns == ["id", "k", "m", "sk"]
+    even = joins.left_lookup(fact.where("k >= 0"), dim, on, ["id"], tasks=16, limit=0)
+    assert even.count() == 300 and "explode" not in even._jdf.queryExecution().optimizedPlan().toString().lower()
+    narrow = fact.withColumn("k", C("k").cast("int"))
+    assert rows(joins.left_lookup(narrow, dim, on, ["id"], limit=0)) == rows(joins.left_lookup(narrow, dim, on, ["id"]))
+    none = joins.left_lookup(fact.where("id < 0"), dim, on, ["id"], limit=0)
+    assert none.count() == 0 and joins.hot_keys(fact.where("k is null"), ["k"], 16) == {}
+
+
 def test_outer_merge(spark):
     a = spark.createDataFrame([("x", 1, 10), ("y", None, 20)], "k string, m int, a int")
     b = spark.createDataFrame([("y", None, 5), ("z", 1, 6)], "k string, m int, b int")
