@@ -305,21 +305,20 @@ def _(spark, sf):
         "nk_servidor", "instancia", "nome_servidor", "ambiente", "ambiente_macro", "sgdb", "empresa")
 
 
-@query("capacity_deltas", q.with_ctes("""SELECT instancia, anomes, tamanho_gb, delta_1_mes, delta_2_meses, delta_3_meses,
-    delta_6_meses, delta_12_meses FROM vol"""))
-def _(spark, sf):
-    return capacity.capacity_deltas(lower_names(b.sizes(spark, sf)))
-
-
-@query("capacity_deltas_all_lines", """WITH whole AS (SELECT printf('SRV-%03d', l_suppkey) AS instancia,
+DELTAS_SQL = """WITH whole AS (SELECT printf('SRV-%03d', l_suppkey) AS instancia,
     CAST((year(l_shipdate) + 28) * 100 + month(l_shipdate) AS INTEGER) AS anomes, (year(l_shipdate) + 28) * 12 + month(l_shipdate) AS mi,
     CAST(sum(l_quantity) AS DECIMAL(14,2)) AS tamanho_gb FROM lineitem GROUP BY ALL)
     SELECT a.instancia, a.anomes, a.tamanho_gb, CAST(a.tamanho_gb - (SELECT tamanho_gb FROM whole b WHERE b.instancia = a.instancia AND b.mi = a.mi - 1) AS DECIMAL(15,2)) AS delta_1_mes,
     CAST(a.tamanho_gb - (SELECT tamanho_gb FROM whole b WHERE b.instancia = a.instancia AND b.mi = a.mi - 2) AS DECIMAL(15,2)) AS delta_2_meses,
     CAST(a.tamanho_gb - (SELECT tamanho_gb FROM whole b WHERE b.instancia = a.instancia AND b.mi = a.mi - 3) AS DECIMAL(15,2)) AS delta_3_meses,
     CAST(a.tamanho_gb - (SELECT tamanho_gb FROM whole b WHERE b.instancia = a.instancia AND b.mi = a.mi - 6) AS DECIMAL(15,2)) AS delta_6_meses,
-    CAST(a.tamanho_gb - (SELECT tamanho_gb FROM whole b WHERE b.instancia = a.instancia AND b.mi = a.mi - 12) AS DECIMAL(15,2)) AS delta_12_meses FROM whole a""")
+    CAST(a.tamanho_gb - (SELECT tamanho_gb FROM whole b WHERE b.instancia = a.instancia AND b.mi = a.mi - 12) AS DECIMAL(15,2)) AS delta_12_meses FROM whole a"""
+
+
+@query("capacity_deltas", DELTAS_SQL)
+@query("capacity_deltas_all_lines", DELTAS_SQL)
 def _(spark, sf):
+    """Order lines of every return flag."""
     return capacity.capacity_deltas(lower_names(b.sizes(spark, sf, None)))
 
 
@@ -330,10 +329,10 @@ def _(spark, sf):
         "instancia", "anomes", "tamanho_gb", "disponibilidade_pct")
 
 
-@query("ordered_mart", """SELECT c_mktsegment, n_name, count(c_custkey) AS clientes FROM nation LEFT JOIN customer ON c_nationkey = n_nationkey AND c_acctbal > 0
+@query("ordered_mart", """SELECT c_mktsegment, n_name, count(c_custkey) AS clientes FROM nation LEFT JOIN customer ON c_nationkey = n_nationkey
     GROUP BY 1, 2 ORDER BY 1 NULLS LAST, 2 NULLS LAST""")
 def _(spark, sf):
-    customers = b.table(spark, sf, "customer").where("c_acctbal > 0").groupBy("c_nationkey", "c_mktsegment").agg(
+    customers = b.table(spark, sf, "customer").groupBy("c_nationkey", "c_mktsegment").agg(
         F.count("c_custkey").alias("clientes"))
     nations = b.table(spark, sf, "nation").select("n_nationkey", "n_name")
     mart = nations.join(customers, C("c_nationkey") == C("n_nationkey"), "left").select(
