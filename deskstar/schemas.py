@@ -162,6 +162,9 @@ PARTITION = {
 }
 
 # dimension -> (surrogate key, natural key)
+# Facts whose months keep a summary of this id.
+SUMMARISED = {"fato_ticket": "id_ticket_origem", "fato_csi": "id_ticket_origem"}
+
 DIMENSION_KEYS = {
     "dim_tempo": ("sk_tempo", "data_completa"),
     "dim_cliente": ("sk_cliente", "nm_cliente"),

@@ -7,6 +7,11 @@ a folder that is being written. A load that dies before its switch leaves the ta
 What the catalogue was switched to is also appended to ``trocas/<table>``, all months of a load in one small file, so that a
 catalogue that forgets its tables at the end of a session, or one whose switches broke off, can be set up from the folder.
 Folders that no table points to any more can be expired once no reader is left on them.
+
+Two more things go into that record, so that loads need not read the months they do not touch. One is the last surrogate
+key in use. The other is a summary of the month's keys: the blocks of 4,096 neighbouring ids that it holds, in
+``resumos/<table>/<load>``. A month without a summary counts as holding every key, and a table whose last load did not
+state its last key is searched for it.
 """
 
 from __future__ import annotations
@@ -16,6 +21,7 @@ import json
 import time
 import uuid
 from collections.abc import Sequence
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,7 +45,20 @@ def partition_value(table: str) -> Column:
 
 NO_MONTH = "__HIVE_DEFAULT_PARTITION__"
 WHOLE = ""  # the place of a table without partitions
-SWITCHES = "particao string, local string, carga string"
+SWITCHES = "particao string, local string, carga string, resumo string, ultima bigint"
+SUMMARY = "particao string, bloco bigint, carga string"
+BLOCK_BITS = 12  # a block of ids is 4,096 wide
+LOADED = "deskstar.carga"  # the load that the catalogue was last switched to
+
+
+@dataclass(frozen=True)
+class Recorded:
+    """What the record of switches says: folder and summary of each partition, the last load and the last key it left."""
+
+    folders: dict[str, str] = field(default_factory=dict)
+    summaries: dict[str, tuple[str, str] | None] = field(default_factory=dict)
+    load: str | None = None
+    last_key: int | None = None
 
 
 def own_schema(root: str) -> str:
@@ -91,19 +110,34 @@ class Warehouse:
             raise ValueError(f"{self.schema}.{table} is declared over {details['Location']}, not below {self.root}")
         self.repair(table)
 
-    def switched(self, table: str) -> dict[str, str]:
-        """The folder of each partition by the record of switches."""
+    def recorded(self, table: str) -> Recorded:
+        """The last switch of each partition."""
         stored = self._parquet(f"{self.root}/trocas/{table}", SWITCHES)
         if stored is None:
-            return {}
-        last = stored.groupBy("particao").agg(F.max_by("local", "carga").alias("local"))
-        return {row["particao"]: row["local"] for row in last.collect()}
+            return Recorded()
+        last = F.max_by(F.struct("local", "carga", "resumo", "ultima"), "carga")
+        rows = stored.groupBy("particao").agg(last.alias("troca")).select("particao", "troca.*").collect()
+        newest = max(rows, key=lambda row: row["carga"])
+        return Recorded(
+            {row["particao"]: row["local"] for row in rows},
+            {row["particao"]: (row["resumo"], row["carga"]) if row["resumo"] else None for row in rows},
+            newest["carga"], newest["ultima"],
+        )
 
     def repair(self, table: str) -> None:
         """Bring the catalogue to the last recorded switches, for instance after some of them broke off."""
-        self._switch(table, self.switched(table))
-
-    def _switch(self, table: str, folders: dict[str, str]) -> None:
+        recorded = self.recorded(table)
+        self._switch(table, recorded.folders, recorded.load)
+
+    def settled(self, table: str) -> Recorded:
+        """The record, once the catalogue agrees with it: a load that broke off between the two is taken to its end."""
+        name, recorded = self.name(table), self.recorded(table)
+        properties = {row["key"]: row["value"] for row in self.spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
+        if recorded.load and properties.get(LOADED) != recorded.load:
+            self._switch(table, recorded.folders, recorded.load)
+        return recorded
+
+    def _switch(self, table: str, folders: dict[str, str], load: str | None) -> None:
         """Point partitions, or the whole table, at their new folders."""
         name, month = f"{self.schema}.{table}", schemas.PARTITION.get(table)
         if WHOLE in folders:
@@ -119,15 +153,53 @@ class Warehouse:
                 self.spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {added}")
             for value in folders.keys() & known:
                 self.spark.sql(f"ALTER TABLE {name} {spec(value)} SET LOCATION '{folders[value]}'")
+        if load:
+            self.spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('{LOADED}' = '{load}')")
         self.spark.catalog.refreshTable(name)
 
-    def _publish(self, table: str, load: str, folders: dict[str, str]) -> None:
+    def _publish(
+        self, table: str, load: str, folders: dict[str, str], summary: str | None = None, last_key: int | None = None
+    ) -> None:
         """Record the folders of a finished load in one file, then switch to them."""
         if folders:
-            rows = json.dumps([{"particao": value, "local": folder, "carga": load} for value, folder in folders.items()])
+            rows = json.dumps([{"particao": value, "local": folder, "carga": load, "resumo": summary, "ultima": last_key}
+                               for value, folder in folders.items()])
             record = F.inline(F.from_json(F.lit(rows), f"array<struct<{SWITCHES}>>"))
             self.spark.range(1, numPartitions=1).select(record).write.mode("append").parquet(f"{self.root}/trocas/{table}")
-            self._switch(table, folders)
+            self._switch(table, folders, load)
+
+    def last_key(self, table: str, sk: str) -> int:
+        """Greatest surrogate key in use, 0 in an empty table; rows are read only where the last load did not state it."""
+        last = self.settled(table).last_key
+        return self.physical(table).agg(F.coalesce(F.max(sk), F.lit(0))).first()[0] if last is None else last
+
+    def _summarise(self, table: str, load: str, folder: str) -> str | None:
+        """Store the blocks of ids that each month of a written folder holds; None for tables without such an id."""
+        key, month = schemas.SUMMARISED.get(table), schemas.PARTITION[table]
+        if key is None:
+            return None
+        narrow = T.StructType([schemas.TABLE[table][key], T.StructField(month, T.IntegerType())])
+        rows = self.spark.read.schema(narrow).option("basePath", folder).parquet(folder).where(F.col(key).isNotNull())
+        value = F.coalesce(F.col(month).cast("string"), F.lit(NO_MONTH)).alias("particao")
+        blocks = rows.select(value, F.shiftright(key, BLOCK_BITS).alias("bloco")).distinct()
+        path = f"{self.root}/resumos/{table}/{load}"
+        blocks.withColumn("carga", F.lit(load)).write.parquet(path)
+        return path
+
+    def months_holding(self, table: str, keys: DataFrame) -> set[int | None]:
+        """Months that may hold one of the ids (one column), judged by the summaries; no other month holds any."""
+        summaries = self.settled(table).summaries
+        months = {value for value, summary in summaries.items() if summary is None}
+        known = {value: summary for value, summary in summaries.items() if summary is not None}
+        if known:
+            # A load's summary counts for the months that no later load has written; both lists are of calendar months.
+            current = [f"{value}/{load}" for value, (_, load) in known.items()]
+            blocks = self.spark.read.schema(SUMMARY).parquet(*sorted({path for path, _ in known.values()}))
+            blocks = blocks.where(F.concat_ws("/", "particao", "carga").isin(current))
+            asked = keys.select(F.shiftright(keys.columns[0], BLOCK_BITS).alias("bloco")).distinct()
+            hits = blocks.join(asked, "bloco", "left_semi").select("particao").distinct().collect()
+            months |= {row["particao"] for row in hits}
+        return {None if value == NO_MONTH else int(value) for value in months}
 
     def _parquet(self, path: str, schema: str | T.StructType) -> DataFrame | None:
         """The files of a folder, or None where there is no such folder."""
@@ -208,10 +280,13 @@ class Warehouse:
         df.write.parquet(folder)
         self._publish(table, load, {WHOLE: folder})
 
-    def overwrite_partitions(self, df: DataFrame, table: str, emptied: Sequence[int | None] = ()) -> None:
+    def overwrite_partitions(
+        self, df: DataFrame, table: str, emptied: Sequence[int | None] = (), last_key: int | None = None
+    ) -> None:
         """Replace the partitions present in ``df``, and those of ``emptied`` by nothing, in one switch.
 
-        ``df`` may read the partitions it replaces, since their files stay.
+        ``df`` may read the partitions it replaces, since their files stay. ``last_key`` is the greatest surrogate key of
+        the whole table afterwards, if the caller knows it.
         """
         self.name(table)
         load, month = self._load(), schemas.PARTITION[table]
@@ -226,7 +301,7 @@ class Warehouse:
         for value in (NO_MONTH if v is None else str(v) for v in emptied):
             if value not in folders:
                 folders[value] = f"{folder}/vazia"
-        self._publish(table, load, folders)
+        self._publish(table, load, folders, self._summarise(table, load, folder), last_key)
 
     def clear_partition(self, table: str, value: int | None) -> None:
         """Leave a partition without rows."""
