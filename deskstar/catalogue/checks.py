@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from deskstar import bindings as b
 from deskstar import schemas, vocab
 from deskstar.catalogue import sql as q
+from deskstar.catalogue.lake import _RAW, undotted
 from deskstar.catalogue.registry import query
 from deskstar.functions import temporal, text
 from deskstar.operators import quality
@@ -202,3 +203,37 @@ def _(spark, sf):
     UNION ALL SELECT 'ids_apenas_curated', count(*) FROM (SELECT DISTINCT doc_id FROM labels WHERE doc_id NOT IN (SELECT doc_id FROM documents))""")
 def _(spark, sf):
     return quality.layer_reconciliation(b.table(spark, sf, "documents"), b.table(spark, sf, "labels"), "doc_id", "doc_id")
+
+
+_AUDITED = [f.name.replace(".", "__") for f in schemas.STAGING_TICKETS.fields]
+
+
+def _profile(part: str, table: str, columns) -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{part}' AS parte, '{c}' AS item, 'linhas' AS medida, CAST(count(*) AS DECIMAL(20,2)) AS valor FROM {table} "
+        f"UNION ALL SELECT '{part}', '{c}', 'pct_nulos', CAST({_pct(f'(count(*) - count({c}))')} AS DECIMAL(20,2)) FROM {table}"
+        for c in columns)
+
+
+_CONFORMITY = " UNION ALL ".join(
+    f"SELECT 'conformidade', '{c}|OK', 'pct_nulos', CAST({_pct(f'(count(*) - count({c}))')} AS DECIMAL(20,2)) FROM curated"
+    if c in schemas.CURATED_TICKETS.names else f"SELECT 'conformidade', '{c}|FALTANDO', 'pct_nulos', NULL" for c in vocab.AUDIT_COLUMNS)
+
+
+@query("audit_report", q.with_ctes(f"""SELECT parte, item, medida, CAST(valor AS DECIMAL(20,2)) AS valor FROM ({_profile("perfil_staging", f"(SELECT {_RAW} FROM bt)", _AUDITED)}
+    UNION ALL {_profile("perfil_curated", "curated", schemas.CURATED_TICKETS.names)} UNION ALL {_CONFORMITY}
+    UNION ALL SELECT 'duplicados_staging', '', 'duplicados', count(*) - count(DISTINCT id) FROM bt
+    UNION ALL SELECT 'duplicados_curated', '', 'duplicados', count(*) - count(DISTINCT id_ticket) FROM curated
+    UNION ALL SELECT 'reconciliacao', 'linhas_staging', 'valor', count(*) FROM bt
+    UNION ALL SELECT 'reconciliacao', 'linhas_curated', 'valor', count(*) FROM curated
+    UNION ALL SELECT 'reconciliacao', 'ids_apenas_staging', 'valor', count(DISTINCT id) FROM bt WHERE CAST(id AS VARCHAR) NOT IN (SELECT CAST(id_ticket AS VARCHAR) FROM curated)
+    UNION ALL SELECT 'reconciliacao', 'ids_apenas_curated', 'valor', count(DISTINCT id_ticket) FROM curated WHERE CAST(id_ticket AS VARCHAR) NOT IN (SELECT CAST(id AS VARCHAR) FROM bt)
+    UNION ALL SELECT DISTINCT 'diferenca', id || '|staging', 'linhas', 1 FROM bt WHERE CAST(id AS VARCHAR) NOT IN (SELECT CAST(id_ticket AS VARCHAR) FROM curated)
+    UNION ALL SELECT DISTINCT 'diferenca', id_ticket || '|curated', 'linhas', 1 FROM curated WHERE CAST(id_ticket AS VARCHAR) NOT IN (SELECT CAST(id AS VARCHAR) FROM bt)
+    UNION ALL SELECT 'dominio_tipo_ticket', 'tipo_ticket|' || tipo_ticket, 'linhas', count(*) FROM curated
+    WHERE tipo_ticket NOT IN ('Checklist', 'Incidente', 'CSI', 'Crise', 'Outro') GROUP BY tipo_ticket) audit"""))
+def _(spark, sf):
+    """The whole audit of both ticket layers."""
+    star = b.star(spark, sf)
+    staging = undotted(star.staging.select(*[f"`{f.name}`" for f in schemas.STAGING_TICKETS.fields]))
+    return quality.audit_rows(quality.audit_report(staging, star.curated.select(*schemas.CURATED_TICKETS.names)))

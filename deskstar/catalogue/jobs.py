@@ -11,7 +11,7 @@ from deskstar.catalogue.lake import _RAW, undotted
 from deskstar.catalogue.registry import query
 from deskstar.catalogue.relational import EXECUTIVE_SQL, MARTS_SQL, mart_figures
 from deskstar.plans import dimensions, facts, marts
-from deskstar.plans.monthly import MonthlyInputs, run_month
+from deskstar.plans.monthly import MonthlyInputs, run_month, run_month_legacy
 from deskstar.plans.refine import build_curated_tickets_legacy
 from deskstar.session import fresh_path
 from deskstar.sources.contracts import lower_names
@@ -121,8 +121,11 @@ def _(spark, sf):
         "instancia", "host_name", "anomes", "data_referencia", "tamanho_gb", "delta_3_meses", "minutos_indisponiveis")
 
 
-@query("load_flat_tickets", q.with_ctes("""SELECT id_ticket, empresa, CAST(data_criacao AS DATE) AS data_criacao, CAST(nullif(data_ultima_alteracao, '') AS DATE) AS data_ultima_alteracao,
-    tipo_ticket, status_ticket, foi_atuado, titulo_ticket, csi_status FROM legacy"""))
+_FLAT_SQL = q.with_ctes("""SELECT id_ticket, empresa, CAST(data_criacao AS DATE) AS data_criacao, CAST(nullif(data_ultima_alteracao, '') AS DATE) AS data_ultima_alteracao,
+    tipo_ticket, status_ticket, foi_atuado, titulo_ticket, csi_status FROM legacy""")
+
+
+@query("load_flat_tickets", _FLAT_SQL)
 def _(spark, sf):
     legacy = build_curated_tickets_legacy(b.staging_tickets(spark, sf), **b.LEGACY_DICTIONARIES)
     return facts.load_flat_tickets(_warehouse(spark), legacy, 202401)
@@ -138,6 +141,31 @@ def _(spark, sf):
     return marts.executive_summary(wh)
 
 
+def _staged_file(spark, sf, path: str) -> str:
+    """All staged servers as delimited files."""
+    b.staging_servers(spark, sf).write.options(header=True).csv(path)
+    return path
+
+
+@query("run_month_staged", EXECUTIVE_SQL)
+def _(spark, sf):
+    """The same month, its servers read from a staged file."""
+    root = fresh_path(spark, "month")
+    inputs = MonthlyInputs(b.land_ticket_pages(spark, sf, f"{root}/raw/tickets"), servers=_staged_file(spark, sf, f"{root}/staged"))
+    wh = Warehouse(spark, f"{root}/dw")
+    run_month(spark, f"{root}/lake", wh, 2024, 1, inputs, "quarantine", b.load_ts(), **b.DICTIONARIES)
+    return marts.executive_summary(wh)
+
+
+@query("run_month_legacy", _FLAT_SQL)
+def _(spark, sf):
+    root = fresh_path(spark, "month")
+    wh = Warehouse(spark, f"{root}/dw")
+    inputs = MonthlyInputs(b.land_ticket_pages(spark, sf, f"{root}/raw/tickets"))
+    run_month_legacy(spark, f"{root}/lake", wh, 2024, 1, inputs, "quarantine", **b.LEGACY_DICTIONARIES)
+    return wh.read("fato_tickets")
+
+
 @query("publish_marts", MARTS_SQL)
 def _(spark, sf):
     names = marts.publish_marts(b.star(spark, sf).warehouse)

@@ -317,6 +317,22 @@ def audit_report(
     return report
 
 
+def audit_rows(report: Mapping[str, DataFrame]) -> DataFrame:
+    """A report as one table: parte, item (the texts of a row), medida and valor, one row per number.
+
+    A row without numbers counts as one ``linhas``.
+    """
+
+    def long(part: str, df: DataFrame) -> DataFrame:
+        texts = [c for c, kind in df.dtypes if kind == "string"]
+        numbers = [c for c in df.columns if c not in texts]
+        cells = [F.struct(F.lit(c).alias("medida"), F.col(c).cast("decimal(20,2)").alias("valor")) for c in numbers]
+        cells = cells or [F.struct(F.lit("linhas").alias("medida"), F.lit(1).cast("decimal(20,2)").alias("valor"))]
+        return df.select(F.lit(part).alias("parte"), F.concat_ws("|", *texts).alias("item"), F.inline(F.array(*cells)))
+
+    return _stack([long(part, df) for part, df in report.items()])
+
+
 # --- lineage ---------------------------------------------------------------------------------------
 def measured_status(
     spark: SparkSession, tables: Mapping[str, DataFrame], matrix=vocab.TRACEABILITY,

@@ -212,15 +212,18 @@ def load_fato_servidor(
     mode: str = "strict",
     load_ts: Column | None = None,
 ) -> DataFrame:
-    """Reference months, servers and the monthly fact out of one staging file."""
+    """Reference months, servers and the monthly fact out of one staging file.
+
+    Rows name ``source`` as their file, or without one their own ``arquivo_origem`` where the staging has it.
+    """
     prepared = warehouse.stage(prepare_servers(staging, mode, warehouse), "servers")
     load_feed_dimensions(warehouse, prepared)
     good, bad = require_resolved_sk(server_fact(warehouse, prepared), SERVER_MANDATORY, mode)
     _keep_rejects(warehouse, bad, "fato_servidor", ["NK_SERVIDOR", "ANOMES"], SERVER_MANDATORY, mode)
     unique = keep_first(good, ["sk_servidor", "sk_tempo_referencia"], server_order(good))
-    batch = lower_names(unique).withColumns(
-        {"arquivo_origem": F.lit(source).cast("string"), "data_carga": _load_ts(load_ts)}
-    )
+    own = source is None and "arquivo_origem" in unique.columns
+    origin = F.col("arquivo_origem") if own else F.lit(source)
+    batch = lower_names(unique).withColumns({"arquivo_origem": origin.cast("string"), "data_carga": _load_ts(load_ts)})
     grain = ["sk_servidor", "sk_tempo_referencia"]
     return replace_period(warehouse, "fato_servidor", batch, sk="sk_fato_servidor", grain=grain)
 
