@@ -9,6 +9,7 @@ from deskstar import bindings as b
 from deskstar.catalogue import sql as q
 from deskstar.catalogue.registry import query
 from deskstar.functions import numeric, temporal, text
+from deskstar.operators.joins import table_lookup
 from deskstar.sources.raw import explode_items
 
 C = F.col
@@ -164,6 +165,38 @@ def _(spark, sf):
     )
 
 
+def _dictionary(spark: SparkSession, entries: dict, key: str):
+    return spark.createDataFrame(list(entries.items()), f"codigo {key}, nome string")
+
+
+@query("map_company_tables", _twin(empresa=q.COMPANY_SQL))
+def _(spark, sf):
+    """Customers out of a table instead of literals."""
+    tickets = b.ticket_events(spark, sf).select("id", "company_id", "subject")
+    named = table_lookup(tickets, C("company_id"), _dictionary(spark, b.CODES, "bigint"), "codigo_cliente", ["id"])
+    return named.select("id", text.company_from(C("codigo_cliente"), C("subject"), b.PATTERNS).alias("empresa"))
+
+
+@query("map_company_legacy_tables", _twin(empresa=q.COMPANY_LEGACY_SQL))
+def _(spark, sf):
+    """Names and their aliases out of two tables."""
+    tickets = b.ticket_events(spark, sf).select("id", "company_id")
+    named = table_lookup(tickets, C("company_id"), _dictionary(spark, b.NAMES_LEGACY, "bigint"), "nome", ["id"])
+    aliases = _dictionary(spark, b.ALIASES_LEGACY, "string")
+    return table_lookup(named, F.upper(text.strip(C("nome"))), aliases, "empresa", ["id"], "").select("id", "empresa")
+
+
+@query("dict_lookup_table", """SELECT o_orderkey, coalesce(c_name, '?') AS cliente FROM orders LEFT JOIN customer
+    ON c_custkey = CASE WHEN o_orderkey % 5 = 0 THEN NULL WHEN o_orderkey % 5 = 1 THEN -o_custkey ELSE o_custkey END""")
+def _(spark, sf):
+    """A dictionary that grows with the data; a fifth of the codes is NULL and a fifth is unknown."""
+    part = C("o_orderkey") % 5
+    code = F.when(part == 0, F.lit(None)).when(part == 1, -C("o_custkey")).otherwise(C("o_custkey"))
+    names = b.table(spark, sf, "customer").select("c_custkey", "c_name")
+    found = table_lookup(b.table(spark, sf, "orders").select("o_orderkey", "o_custkey"), code, names, "cliente", ["o_orderkey"], "?")
+    return found.select("o_orderkey", "cliente")
+
+
 @query("dict_lookup", _twin(
     status=q.case("status", q.STATUS, "NULL"), prioridade="CASE priority WHEN 1 THEN 'Baixa' WHEN 2 THEN 'Média' WHEN 3 THEN 'Alta' ELSE '?' END"))
 def _(spark, sf):

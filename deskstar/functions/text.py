@@ -90,7 +90,14 @@ def map_company(
     codes: Mapping[int, str] = vocab.CUSTOMER_CODES,
     patterns: Sequence[tuple[str, str]] = vocab.CUSTOMER_PATTERNS,
 ) -> Column:
-    by_id = F.nullif(dict_lookup(codes, company_id.try_cast("bigint")), F.lit(""))
+    return company_from(dict_lookup(codes, company_id.try_cast("bigint")), subject, patterns)
+
+
+def company_from(
+    code: Column, subject: Column, patterns: Sequence[tuple[str, str]] = vocab.CUSTOMER_PATTERNS
+) -> Column:
+    """The customer that the id stands for, wherever that was looked up, else the first one that the subject names."""
+    by_id = F.nullif(code, F.lit(""))
     subject = F.coalesce(subject, F.lit(""))
     by_word = _first_match(
         [(subject.rlike(f"(?iU){pattern}"), code) for code, pattern in patterns], F.lit("")

@@ -104,6 +104,25 @@ def lookup_sk_casefold(
     return left_lookup(probe, folded, [("_folded", nk)], spread_by, **options).drop("_folded")
 
 
+def table_lookup(
+    df: DataFrame, key: Column, dictionary: DataFrame, into: str, spread_by: Sequence[str], default: str | None = None, **options
+) -> DataFrame:
+    """Column ``into``: the value that a dictionary table (columns key and value, in this order) has for ``key``.
+
+    An absent or NULL key, and a NULL value, give ``default``. Keys are compared in the dictionary's type; a code that does
+    not fit it is absent. A key with two different values fails the job; NULL keys of the dictionary match nothing. The
+    dictionary may be of any size: it is broadcast only below the checked limit.
+    """
+    k, v = dictionary.columns
+    one = dictionary.where(F.col(k).isNotNull()).groupBy(F.col(k).alias("_entry")).agg(
+        F.min(v).alias("_value"), F.count_distinct(F.col(v)).alias("_values"))
+    ambiguous = F.concat(F.lit(f"{into}: two values for "), F.col("_entry").cast("string"))
+    one = one.select("_entry", F.when(F.col("_values") > 1, F.raise_error(ambiguous)).otherwise(F.col("_value")).alias("_value"))
+    probe = df.withColumn("_asked", key.try_cast(dictionary.schema[k].dataType))
+    found = left_lookup(probe, one, [("_asked", "_entry")], spread_by, **options)
+    return found.withColumn(into, F.coalesce("_value", F.lit(default))).drop("_asked", "_value")
+
+
 def role_playing_dates(
     fact: DataFrame, dim_tempo: DataFrame, roles: dict[str, str], spread_by: Sequence[str], **options
 ) -> DataFrame:
