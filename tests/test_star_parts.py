@@ -6,8 +6,8 @@ import os
 
 from deskstar import bindings as b
 from deskstar import schemas
-from deskstar.operators import members
-from deskstar.plans import dimensions, facts
+from deskstar.operators import joins, members
+from deskstar.plans import dimensions, facts, marts
 from deskstar.sources.warehouse import Warehouse
 
 
@@ -66,3 +66,16 @@ def test_quarantined_facts_look_their_keys_up_once(spark, tmp_path, sf_dir, monk
     dimensions.load_dimensions(warehouse, star.curated)
     facts.load_fato_csi(warehouse, star.curated, "quarantine", b.load_ts())
     assert "fato_csi-keyed" in labels
+
+
+def test_tickets_are_not_shuffled_for_the_few_hosts_of_the_bridge(spark, sf_dir, monkeypatch):
+    warehouse = b.star(spark, sf_dir).warehouse
+    whole = sorted(map(str, marts.bridge_join(warehouse).collect()))
+    # As for a fact of servers beyond the checked size: only the bridge and the dimensions count as small.
+    looked_up, real = [], joins.small
+    monkeypatch.setattr(joins, "small", lambda df, limit=joins.BROADCAST_LIMIT: limit > joins.BROADCAST_LIMIT or (
+        not {"tamanho_gb"} & set(df.columns) and real(df, limit)))
+    monkeypatch.setattr(joins, "hot_keys", lambda *a: looked_up.append(a) or {})
+    assert sorted(map(str, marts.bridge_join(warehouse).collect())) == whole and not looked_up
+    monkeypatch.setattr(marts, "BRIDGED_ROWS", 0)
+    assert sorted(map(str, marts.bridge_join(warehouse).collect())) == whole and looked_up
