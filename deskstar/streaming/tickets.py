@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from deskstar import schemas
+from deskstar.operators.joins import FEW_KEYS_LIMIT, broadcast_few, small
 from deskstar.operators.upserts import remove_by_id
 from deskstar.plans.dimensions import load_dimensions
 from deskstar.plans.facts import load_fato_csi, load_fato_ticket
@@ -45,15 +46,18 @@ def load_batch(
     """One micro-batch through refine, dimensions and facts."""
     place = F.struct(*schemas.LANDING_POSITION.names)
     seen = warehouse.stage(dedupe_landed_pages(pages), "stream-seen")
-    known = loaded_positions(warehouse).join(seen.select("id"), "id", "left_semi")
-    placed = warehouse.stage(seen.join(known, "id", "left").where(F.col("stored").isNull() | (place <= F.col("stored"))), "stream-placed")
+    known = warehouse.stage(loaded_positions(warehouse).join(seen.select("id"), "id", "left_semi"), "stream-known")
+    # Few tickets of a batch were loaded before, mostly; the batch is then read as stored and not shuffled for them.
+    placed = seen.join(broadcast_few(known), "id", "left").where(F.col("stored").isNull() | (place <= F.col("stored")))
+    if not small(known, FEW_KEYS_LIMIT):
+        placed = warehouse.stage(placed, "stream-placed")
     earlier = placed.where(place < F.col("stored")).select(F.col("id").alias("id_ticket_origem"))
     first_seen = placed.drop("stored").withColumn(ORDER, place)
     staging = build_staging_tickets(first_seen.drop(*schemas.LANDING_POSITION.names))
-    curated = warehouse.stage(build_curated_tickets(staging, **dictionaries), "stream-curated")
+    curated = warehouse.stage(build_curated_tickets(staging, unique=True, **dictionaries), "stream-curated")
     load_dimensions(warehouse, curated)
     # The earlier copy decides alone, also where a fact does not take it.
-    for fact in ("fato_ticket", "fato_csi"):
+    for fact in () if earlier.isEmpty() else ("fato_ticket", "fato_csi"):
         remove_by_id(warehouse, fact, earlier)
     load_fato_ticket(warehouse, curated, mode, load_ts)
     load_fato_csi(warehouse, curated, mode, load_ts)

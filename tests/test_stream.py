@@ -1,6 +1,7 @@
 import json
 import os
 
+from deskstar.operators.upserts import upsert_by_id
 from deskstar.sources.warehouse import Warehouse
 from deskstar.streaming.tickets import stream_tickets
 
@@ -29,3 +30,48 @@ def test_first_copy_wins_across_micro_batches(spark, tmp_path):
     assert set(found[0][0]) == {1, 2, 3}
     assert found[0] == found[1]
     assert found[0][1] == 0 and len(set(found[0][0].values())) == 1
+
+
+def _small_warehouse(spark, tmp_path, *lines):
+    (tmp_path / "landing").mkdir()
+    for i, line in enumerate(lines):
+        (tmp_path / "landing" / f"{i}.json").write_text(line)
+    wh = Warehouse(spark, str(tmp_path / "dw"))
+    stream_tickets(wh, str(tmp_path / "landing"), str(tmp_path / "c"), files_per_batch=1).awaitTermination()
+    return wh
+
+
+def test_a_batch_is_dealt_out_once(spark, tmp_path, monkeypatch):
+    """Tickets that were not loaded before are not dealt out again by their id."""
+    staged, stage = {}, Warehouse.stage
+
+    def noted(self, df, label):
+        staged.setdefault(label, df._jdf.queryExecution().optimizedPlan().toString())
+        return stage(self, df, label)
+
+    monkeypatch.setattr(Warehouse, "stage", noted)
+    ticket = {"id": 1, "company_id": 1, "subject": "a", "status": 2, "type": "Incidente", "created_at": "2026-01-05T10:00:00Z",
+              "updated_at": "2026-01-05T12:00:00Z", "window_start": "2026-01-01", "page": 1, "pos": 0}
+    wh = _small_warehouse(spark, tmp_path, json.dumps([ticket, {**ticket, "page": 2}]))
+    assert wh.read("fato_ticket").count() == 1
+    assert "stream-placed" not in staged
+    assert "Window" in staged["stream-seen"] and "Window" not in staged["stream-curated"]
+
+
+def test_stored_months_are_not_dealt_by_key(spark, tmp_path, monkeypatch):
+    """A second batch writes the month anew: few of its keys are stored, so these are broadcast to the stored rows."""
+    plans, overwrite = [], Warehouse.overwrite_partitions
+
+    def noted(self, df, table, *args, **options):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return overwrite(self, df, table, *args, **options)
+
+    monkeypatch.setattr(Warehouse, "overwrite_partitions", noted)
+    wh = Warehouse(spark, str(tmp_path / "dw"))
+    for ids in ("1, 2, NULL", "2, 3"):
+        batch = spark.sql(f"SELECT explode(array({ids})) AS id_ticket_origem, 20260105 AS sk_tempo_criacao")
+        upsert_by_id(wh, "fato_ticket", batch.withColumn("id_ticket_origem", batch[0].cast("long")), sk="sk_ticket")
+    rows = [(r["id_ticket_origem"], r["sk_ticket"]) for r in wh.read("fato_ticket").collect()]
+    assert sorted(r[0] for r in rows if r[0]) == [1, 2, 3] and len({r[1] for r in rows}) == len(rows)
+    anti = [line for line in plans[-1].splitlines() if "LeftAnti" in line]
+    assert anti and all("broadcast" in line for line in anti[:1])
