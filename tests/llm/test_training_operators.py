@@ -344,6 +344,14 @@ def test_every_document_frequency_counts(spark, sf_dir, docs, odd):
     assert Counter((r["doc_id"], r["group_id"]) for r in rows) == brute_groups(docs, floor=0)
 
 
+def test_distinct_keys_are_those_of_unique():
+    """One sort gives what ``np.unique`` gives with counts, types included."""
+    keys = np.random.default_rng(3).integers(0, 2**64, 400, dtype=np.uint64)
+    for some in (keys[:0], keys[:1], np.repeat(keys[:1], 5), np.concatenate([keys, keys[100:300], keys[:7]])):
+        for got, want in zip(near_documents.distinct_keys(some), np.unique(some, return_counts=True), strict=True):
+            assert got.dtype == want.dtype and got.tolist() == want.tolist()
+
+
 def test_document_counts_are_exact(docs):
     distinct = near_documents.distinct_texts(docs, "doc_id", "text")
     classes = near_documents.signed(distinct, near_documents.Counted(docs.count(), 0.0))
