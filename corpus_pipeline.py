@@ -44,10 +44,10 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The ids of each document's pieces, and whether they decode to its text."""
     vocabulary = pieces.read_vocabulary(VOCABULARY)
-    ids = docs.select("doc_id", "source", "text", pieces.encoded(spark, F.col("text"), vocabulary).alias("piece_ids"))
-    back = pieces.decoded(spark, F.col("piece_ids"), vocabulary)
-    return ids.select("doc_id", "source", F.size("piece_ids").cast("long").alias("n_pieces"), "piece_ids",
-                      back.eqNullSafe(F.col("text")).alias("round_trip"))
+    found = docs.select("doc_id", "source", "text", pieces.round_trip(spark, F.col("text"), vocabulary).alias("found"))
+    ids = F.col("found")["piece_ids"]
+    return found.select("doc_id", "source", F.size(ids).cast("long").alias("n_pieces"), ids.alias("piece_ids"),
+                        F.col("found")["text"].eqNullSafe(F.col("text")).alias("round_trip"))
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

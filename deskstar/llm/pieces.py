@@ -16,6 +16,7 @@ import math
 import re
 from array import array
 from collections import Counter, defaultdict
+from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import count
 
@@ -100,7 +101,7 @@ class Segmenter:
                 node = children[node][code]
             ends[node] = (len(piece), i, score)
         n = len(children)
-        self.step = np.zeros((n, TABLE_CHARS), dtype=np.int32)
+        self.step = np.zeros((n, TABLE_CHARS), dtype=np.min_scalar_type(n))
         self.gain = np.full((n, self.widest), -np.inf)  # by length, longest first
         self.piece = np.full((n, self.widest), -1, dtype=np.int32)
         fail, queue = [0] * n, [0]
@@ -210,7 +211,7 @@ class Segmenter:
             return text.split(" ")
         return [chunk[1:] for chunk in CHUNK.findall(SPACE + text.replace(" ", SPACE))]
 
-    def encode_all(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def encode_all(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after the other, and where each begins (with the end)."""
         numbers: dict[str, int] = defaultdict(count().__next__)
         seen, ends = array("q"), [0]
@@ -245,12 +246,12 @@ def decode_ids(vocabulary: Vocabulary, ids) -> str:
     return text[1:] if vocabulary.prefix and text.startswith(" ") else text
 
 
-def slices(texts: list[str | None]):
-    """``texts`` in runs of about BATCH_CHARS characters."""
+def slices(texts: pa.Array) -> Iterator[list[str | None]]:
+    """``texts`` in runs of about BATCH_CHARS characters; only one run is held as Python strings."""
     part, size = [], 0
-    for text in texts:
-        part.append(text or "")
-        size += len(part[-1])
+    for value in texts:
+        part.append(value.as_py())
+        size += len(part[-1] or "")
         if size >= BATCH_CHARS:
             yield part
             part, size = [], 0
@@ -258,42 +259,62 @@ def slices(texts: list[str | None]):
         yield part
 
 
+def encode_lists(vocabulary: Vocabulary, batches: Iterator[pa.Array]) -> Iterator[pa.ListArray]:
+    """The ids of each text, null for a null one; a batch of long texts gives several arrays."""
+    segmenter = Segmenter(vocabulary)
+    for texts in batches:
+        for part in slices(texts):
+            ids, ends = segmenter.encode_all(part)
+            yield pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids, pa.int32()),
+                                           mask=pa.array([text is None for text in part], pa.bool_()))
+
+
+def decode_lists(vocabulary: Vocabulary, lists: pa.ListArray) -> pa.Array:
+    flat = lists.flatten().to_numpy()
+    out, at = [], 0
+    for n in lists.value_lengths().to_pylist():
+        out.append(None if n is None else decode_ids(vocabulary, flat[at:at + n].tolist()))
+        at += n or 0
+    return pa.array(out, pa.string())
+
+
 def encoded(spark: SparkSession, text: Column, vocabulary: Vocabulary) -> Column:
     """Array of piece ids of each whole text: null for a null text, empty for an empty one."""
     held = spark.sparkContext.broadcast(vocabulary)
-    made: list[Segmenter] = []
-
-    def encode(texts: pa.Array) -> pa.Array:
-        if not made:
-            made.append(Segmenter(held.value))
-        values, ids, ends = [v.as_py() for v in texts], [], [0]
-        for part in slices(values):
-            found, begins = made[0].encode_all(part)
-            ids.append(found)
-            ends.extend((begins[1:] + ends[-1]).tolist())
-        flat = np.concatenate(ids) if ids else np.zeros(0, dtype=np.int32)
-        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int32()),
-                                        mask=pa.array([v is None for v in values], pa.bool_()))
-
-    encode.__annotations__ = {"texts": pa.Array, "return": pa.Array}
+
+    def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        yield from encode_lists(held.value, batches)
+
+    encode.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
     return F.arrow_udf(encode, "array<int>")(text)
 
 
+def round_trip(spark: SparkSession, text: Column, vocabulary: Vocabulary) -> Column:
+    """Struct of ``encoded`` and of ``decoded`` over it, as ``piece_ids`` and ``text``.
+
+    Two UDFs of which one takes the other's ids would run in one worker with the inner one called twice, its tables and
+    results held twice. Here a text is encoded once, and its ids are decoded while they are held.
+    """
+    held = spark.sparkContext.broadcast(vocabulary)
+
+    def there_and_back(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for ids in encode_lists(held.value, batches):
+            yield pa.StructArray.from_arrays([ids, decode_lists(held.value, ids)], ["piece_ids", "text"])
+
+    there_and_back.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
+    return F.arrow_udf(there_and_back, "piece_ids array<int>, text string")(text)
+
+
 def decoded(spark: SparkSession, ids: Column, vocabulary: Vocabulary) -> Column:
     """Text of each array of ids; null for a null array.
 
     Gives back the encoded text, but for a space mark (U+2581) in the text itself, which the format cannot tell from a
-    space.
+    space. To encode and decode in one query, see ``round_trip``.
     """
     held = spark.sparkContext.broadcast(vocabulary)
 
     def decode(lists: pa.Array) -> pa.Array:
-        flat = lists.flatten().to_numpy()
-        out, at = [], 0
-        for n in lists.value_lengths().to_pylist():
-            out.append(None if n is None else decode_ids(held.value, flat[at:at + n].tolist()))
-            at += n or 0
-        return pa.array(out, pa.string())
+        return decode_lists(held.value, lists)
 
     decode.__annotations__ = {"lists": pa.Array, "return": pa.Array}
     return F.arrow_udf(decode, "string")(ids)

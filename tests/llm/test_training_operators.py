@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import hashlib
+import re
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
@@ -413,6 +415,33 @@ def test_pieces_round_trip(spark, odd, none, docs, vocabulary):
     assert none.select(pieces.encoded(spark, F.col("text"), vocabulary)).count() == 0
 
 
+def test_pieces_there_and_back(spark, odd, none, docs, vocabulary):
+    for df in (odd, docs):
+        apart = df.select("doc_id", "text", pieces.encoded(spark, F.col("text"), vocabulary).alias("ids")).select(
+            "doc_id", "ids", pieces.decoded(spark, F.col("ids"), vocabulary))
+        found = df.select("doc_id", pieces.round_trip(spark, F.col("text"), vocabulary).alias("found"))
+        assert sorted(map(repr, map(tuple, found.select("doc_id", "found.*").collect()))) == sorted(
+            map(repr, map(tuple, apart.collect())))
+    assert none.select(pieces.round_trip(spark, F.col("text"), vocabulary)).count() == 0
+
+
+def test_texts_are_encoded_once(spark, sf_dir, docs):
+    """A worker that also calls the encoder inside the decoder holds its tables and the results of a batch twice."""
+    for df in (QUERIES["op2_sentencepiece"](spark, sf_dir), corpus_pipeline.encoded(spark, docs, sf_dir)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert set(re.findall(r"pythonUDF\d+", plan)) == {"pythonUDF0"}
+
+
+def test_pieces_of_a_batch_come_in_runs(vocabulary, monkeypatch):
+    monkeypatch.setattr(pieces, "BATCH_CHARS", 40)
+    texts = ["some words", None, "", "x" * 100, "and other words, and more", "ü ▁ 語", None] * 3
+    runs = list(pieces.encode_lists(vocabulary, iter([pa.array(texts), pa.array([], pa.string()), pa.array(texts[:2])])))
+    segmenter = pieces.Segmenter(vocabulary)
+    assert len(runs) > 6 and max(map(len, runs)) < len(texts)
+    assert [ids for run in runs for ids in run.to_pylist()] == [
+        None if text is None else segmenter.encode(text) for text in texts + texts[:2]]
+
+
 def test_pipeline_stages(spark, sf_dir, docs):
     stage = dict(corpus_pipeline.STAGES)
     assert len(stage) == 5
