@@ -17,7 +17,7 @@ import corpus_pipeline
 from compare import compare, connect
 from deskstar.llm import (collisions, language, line_dedup, mixing, near_documents, neighbours, pieces, repeats,
                           sharding)
-from deskstar.llm.common import components
+from deskstar.llm.common import components, mapped
 from deskstar.llm.queries import QUERIES, TWINS, VOCABULARY
 
 SCHEMA = "doc_id long, text string, lang string, source string, size int, shard string, lines int, cut int"
@@ -451,3 +451,26 @@ def test_pipeline_stages(spark, sf_dir, docs):
     assert lines.columns == docs.columns and lines.count() == docs.count()
     last = stage["pieces"](spark, docs, sf_dir)
     assert last.where("NOT round_trip").count() == 0
+
+
+def test_pipeline_small_batches(spark, sf_dir, none):
+    """Ten thousand whole texts to a batch would leave the Python workers that all stages share as large as such a batch."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    texts = spark.range(0, 200, 1, 1).select(F.repeat(F.lit("word "), 10_000).alias("text"))
+
+    def sizes():
+        found = mapped(texts, lambda b: [pa.record_batch([pa.array([b.num_rows]), pa.array([b.nbytes])], ["rows", "bytes"])],
+                              "rows bigint, bytes bigint").collect()
+        assert sum(r["rows"] for r in found) == 200
+        return [r["bytes"] for r in found]
+
+    try:
+        for _, stage in corpus_pipeline.STAGES:
+            spark.conf.unset(key)
+            stage(spark, none, sf_dir)
+            assert max(sizes()) < 3_000_000
+        spark.conf.set(key, "500k")
+        stage(spark, none, sf_dir)
+        assert max(sizes()) < 600_000  # the caller's size stays
+    finally:
+        spark.conf.unset(key)
